@@ -13,6 +13,10 @@ All cell bounds come from the same monotonic ``floor(x / size)``, so a cell's
 verdict is the verdict of the full ray cast, not an approximation. The table has
 one row per cell; a point meets at most one row, so there is no fan-out and no
 aggregation over points.
+
+Where many boundaries crowd into one cell, that cell alone is replaced by the
+cells of a finer grid, again and again, so the work per point stays small also
+for tables that mix countries with city blocks.
 """
 
 from __future__ import annotations
@@ -25,22 +29,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.geometry import cell_of, crosses_ray, on_edge
-from orderlake.operators.enrich import BROADCAST_BYTES, lookup_join, payload_bytes
+from orderlake.operators.enrich import BROADCAST_BYTES, lookup_join
 from orderlake.sources.boundaries import boundary_edges
 
 # Mean number of cells per polygon that the automatic cell size aims at.
 CELLS_PER_AREA = 256
 
+# A cell with more edges than this is split, at most LEVELS - 1 times, into
+# SPLIT by SPLIT cells. A power of two keeps the cells of two levels nested
+# exactly, rounding included.
+CELL_EDGES = 256
+SPLIT = 8
+LEVELS = 4
+
 # Output column -> field of the area that it takes.
 AREA_NAMES = {"neighborhood": "neighborhood", "comune": "comune"}
 
 
 @dataclass(frozen=True)
 class AreaIndex:
-    """Cells of a boundary table: one row (cx, cy, areas) per cell."""
+    """Cells of a boundary table: one row (level, cx, cy, areas) per cell."""
 
     cells: DataFrame
     size: float
+    levels: int
     bytes: int
 
     def save(self, path: str) -> None:
@@ -50,9 +62,12 @@ class AreaIndex:
     @staticmethod
     def load(spark: SparkSession, path: str) -> AreaIndex:
         table = spark.read.parquet(path)
-        first = table.select("size").first()
-        cells = table.drop("size")
-        return AreaIndex(cells, first["size"] if first else 1.0, payload_bytes(cells))
+        found = table.agg(
+            F.max("size").alias("size"), F.max("level").alias("level"), F.sum(_cell_bytes()).alias("bytes")
+        ).first()
+        return AreaIndex(
+            table.drop("size"), found["size"] or 1.0, (found["level"] or 0) + 1, found["bytes"] or 0
+        )
 
 
 def choose_cell_size(edges: DataFrame, cells_per_area: int = CELLS_PER_AREA) -> float:
@@ -81,40 +96,97 @@ def build_cells(
     boundaries: DataFrame,
     size: float | None = None,
     cells_per_area: int = CELLS_PER_AREA,
+    cell_edges: int = CELL_EDGES,
 ) -> AreaIndex:
     """Index of (ord, area_id, neighborhood, comune, geometry) rows.
 
-    ``ord`` must be unique; where areas overlap the lowest one wins.
+    ``ord`` must be unique; where areas overlap the lowest one wins. One small
+    aggregation per level measures the index and finds out if another is needed.
     """
     edges = boundary_edges(boundaries)
     size = float(size) if size is not None else choose_cell_size(edges, cells_per_area)
     if not size > 0:
         raise ValueError("the cell size must be positive")
-
-    attributes = [c for c in edges.columns if c not in ("x1", "y1", "x2", "y2")]
-    ranked = ["ord"] + [c for c in attributes if c != "ord"]
-    spans = edges.select(
-        F.struct(*ranked).alias("area"),
-        F.struct("x1", "y1", "x2", "y2").alias("edge"),
-        cell_of(F.least("x1", "x2"), size).alias("from_x"),
-        cell_of(F.greatest("x1", "x2"), size).alias("to_x"),
-        cell_of("y1", size).alias("from_y"),
-        cell_of("y2", size).alias("to_y"),
+    ranked = ["ord"] + [c for c in edges.columns if c not in ("ord", "x1", "y1", "x2", "y2")]
+    outlines = edges.select(F.struct(*ranked).alias("area"), F.struct("x1", "y1", "x2", "y2").alias("edge"))
+
+    crowded = F.aggregate("areas", F.lit(0), lambda n, a: n + F.size(a["edges"])) > cell_edges
+    cells = _grid(outlines, size)
+    done, total, level = None, 0, 0
+    while True:
+        last = level == LEVELS - 1
+        stays = F.lit(True) if last else ~crowded
+        kept = cells.filter(stays)
+        found = cells.agg(
+            F.coalesce(F.sum(F.when(stays, _cell_bytes())), F.lit(0)).alias("bytes"),
+            F.count_if(crowded).alias("crowded"),
+        ).first()
+        at_level = kept.select(F.lit(level).alias("level"), "cx", "cy", "areas")
+        done = at_level if done is None else done.unionByName(at_level)
+        total += found["bytes"]
+        level += 1
+        if last or not found["crowded"]:
+            return AreaIndex(done, size, level, total)
+        parents = cells.filter(crowded).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
+        cells = _grid(outlines, size / SPLIT**level, parents)
+
+
+def _grid(outlines: DataFrame, size: float, parents: DataFrame | None = None) -> DataFrame:
+    """Cells (cx, cy, areas) of one grid, or of the part of it under ``parents``."""
+    spans = outlines.select(
+        "area",
+        "edge",
+        cell_of(F.least("edge.x1", "edge.x2"), size).alias("from_x"),
+        cell_of(F.greatest("edge.x1", "edge.x2"), size).alias("to_x"),
+        cell_of("edge.y1", size).alias("from_y"),
+        cell_of("edge.y2", size).alias("to_y"),
     )
-    rows = (
-        spans.withColumn("cy", F.explode(F.sequence("from_y", "to_y")))
-        .groupBy("area", "cy")
-        .agg(
-            F.min("from_x").alias("first"),
-            F.max("to_x").alias("last"),
-            F.collect_list(F.struct("edge", "from_x", "to_x", "from_y", "to_y")).alias("spans"),
+    if parents is None:
+        pieces = spans.withColumn("cy", F.explode(F.sequence("from_y", "to_y")))
+    else:
+        # an edge goes to the rows of those parents that it passes
+        rows = parents.select("py").distinct()
+        meets = (F.floor(F.col("from_y") / SPLIT) <= F.col("py")) & (F.col("py") <= F.floor(F.col("to_y") / SPLIT))
+        band = spans.withColumn("py", F.explode(F.sequence(F.floor(F.col("from_y") / SPLIT), F.floor(F.col("to_y") / SPLIT))))
+        first = F.greatest("from_y", F.col("py") * SPLIT)
+        last = F.least("to_y", F.col("py") * SPLIT + (SPLIT - 1))
+        pieces = (
+            band.filter(meets)
+            .join(rows, "py", "left_semi")
+            .withColumn("cy", F.explode(F.sequence(first, last)))
+            .drop("py")
         )
-        .withColumn("cx", F.explode(F.sequence("first", "last")))
+    rows = pieces.groupBy("area", "cy").agg(
+        F.min("from_x").alias("first"),
+        F.max("to_x").alias("last"),
+        F.struct(
+            F.min(F.least("edge.x1", "edge.x2")).alias("x1"),
+            F.min("edge.y1").alias("y1"),
+            F.max(F.greatest("edge.x1", "edge.x2")).alias("x2"),
+            F.max("edge.y2").alias("y2"),
+        ).alias("box"),
+        F.collect_list(F.struct("edge", "from_x", "to_x", "from_y", "to_y")).alias("spans"),
     )
+    if parents is None:
+        placed = rows.withColumn("cx", F.explode(F.sequence("first", "last")))
+    else:
+        columns = parents.groupBy("py").agg(F.collect_set("px").alias("pxs"))
+        placed = (
+            rows.withColumn("py", F.floor(F.col("cy") / SPLIT))
+            .join(columns, "py")
+            .withColumn("px", F.explode("pxs"))
+            .withColumn(
+                "cx",
+                F.explode(F.sequence(F.col("px") * SPLIT, F.col("px") * SPLIT + (SPLIT - 1))),
+            )
+            .filter(F.col("cx").between(F.col("first"), F.col("last")))
+        )
 
     cx, cy = F.col("cx"), F.col("cy")
     middle = (cy + F.lit(0.5)) * F.lit(size)
-    touching = F.filter("spans", lambda s: (s["from_x"] <= cx) & (s["to_x"] >= cx))
+
+    def touches(s: Column) -> Column:
+        return (s["from_x"] <= cx) & (s["to_x"] >= cx)
 
     def right(s: Column) -> Column:
         return s["from_x"] > cx
@@ -128,21 +200,18 @@ def build_cells(
     def at_middle(s: Column) -> Column:
         return (s["edge"]["y1"] <= middle) & (middle < s["edge"]["y2"])
 
-    border = F.size(touching) > 0
-    passed = F.size(F.filter("spans", lambda s: right(s) & F.when(border, whole_row(s)).otherwise(at_middle(s))))
-    deciding = F.filter(
-        "spans",
-        lambda s: ((s["from_x"] <= cx) & (s["to_x"] >= cx)) | (border & right(s) & part_of_row(s)),
-    )
-    kept = F.when(border, deciding).otherwise(F.filter("spans", lambda s: F.lit(False)))
-    cells = (
-        rows.select(
+    border = F.exists("spans", touches)
+    passed = F.filter("spans", lambda s: right(s) & F.when(border, whole_row(s)).otherwise(at_middle(s)))
+    deciding = F.filter("spans", lambda s: border & (touches(s) | (right(s) & part_of_row(s))))
+    return (
+        placed.select(
             "cx",
             "cy",
             F.struct(
                 "area.*",
-                (passed % 2).alias("parity"),
-                F.transform(kept, lambda s: s["edge"]).alias("edges"),
+                "box",
+                (F.size(passed) % 2).alias("parity"),
+                F.transform(deciding, lambda s: s["edge"]).alias("edges"),
             ).alias("candidate"),
         )
         .filter((F.col("candidate.parity") == 1) | (F.size("candidate.edges") > 0))
@@ -150,7 +219,6 @@ def build_cells(
         .agg(F.sort_array(F.collect_list("candidate")).alias("areas"))
         .select(_as_int("cx"), _as_int("cy"), _up_to_first_whole("areas").alias("areas"))
     )
-    return AreaIndex(cells, size, payload_bytes(cells))
 
 
 def _as_int(cell: str) -> Column:
@@ -166,6 +234,19 @@ def _up_to_first_whole(areas: str) -> Column:
     return F.when(place > 0, F.slice(areas, F.lit(1), place)).otherwise(F.col(areas))
 
 
+def _cell_bytes() -> Column:
+    """Memory of a cell's row: four doubles and a header per edge, names and box."""
+    return F.aggregate(
+        "areas",
+        F.lit(64).cast("bigint"),
+        lambda n, a: n
+        + F.size(a["edges"]) * 56
+        + F.coalesce(F.octet_length(a["neighborhood"]), F.lit(0))
+        + F.coalesce(F.octet_length(a["comune"]), F.lit(0))
+        + F.lit(160),
+    )
+
+
 def area_lookup(
     points: DataFrame,
     index: AreaIndex,
@@ -181,16 +262,22 @@ def area_lookup(
     """
     x, y = F.col(lon), F.col(lat)
     usable = ~(F.isnan(x) | F.isnan(y))
-    keyed = points.withColumns(
-        {
-            "_cx": F.when(usable, cell_of(x, index.size).try_cast("int")),
-            "_cy": F.when(usable, cell_of(y, index.size).try_cast("int")),
-        }
-    )
-    cells = index.cells.select(
-        F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("areas").alias("_areas")
-    )
-    joined = lookup_join(keyed, cells, ["_cx", "_cy"], broadcast_bytes, index.bytes)
+    joined = points
+    for level in range(index.levels):
+        size = index.size / SPLIT**level
+        kx, ky, found = f"_cx{level}", f"_cy{level}", f"_areas{level}"
+        keyed = joined.withColumns(
+            {
+                kx: F.when(usable, cell_of(x, size).try_cast("int")),
+                ky: F.when(usable, cell_of(y, size).try_cast("int")),
+            }
+        )
+        cells = index.cells.filter(F.col("level") == level).select(
+            F.col("cx").alias(kx), F.col("cy").alias(ky), F.col("areas").alias(found)
+        )
+        joined = lookup_join(keyed, cells, [kx, ky], broadcast_bytes, index.bytes)
+    # a cell that was split is absent from its level: at most one level matches
+    joined = joined.withColumn("_areas", F.coalesce(*[F.col(f"_areas{n}") for n in range(index.levels)]))
     first = F.get("_areas", F.lit(0))
     tested = F.get(F.filter("_areas", lambda a: _interior(a, x, y)), F.lit(0))
     # most cells are wholly inside their first area and need no test at all
@@ -200,7 +287,8 @@ def area_lookup(
 
 
 def _interior(area: Column, x: Column, y: Column) -> Column:
-    edges = area["edges"]
+    edges, box = area["edges"], area["box"]
+    near = x.between(box["x1"], box["x2"]) & y.between(box["y1"], box["y2"])
     crossed = F.size(F.filter(edges, lambda e: crosses_ray(e, x, y)))
     inside = (area["parity"] + crossed) % 2 == 1
-    return inside & ~F.exists(edges, lambda e: on_edge(e, x, y))
+    return near & inside & ~F.exists(edges, lambda e: on_edge(e, x, y))

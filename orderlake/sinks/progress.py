@@ -86,10 +86,12 @@ def write_progress(spark: SparkSession, path: str, mark: Mark | datetime | str)
         mark = Mark(as_mark(spark, mark))
     first, second = _slots(spark, path)
     newest_is_first = first is not None and (second is None or first.processed_date >= second.processed_date)
-    slot = _SLOTS[1] if newest_is_first else _SLOTS[0]
+    # the first mark goes to both, so that later runs find both
+    slots = _SLOTS if first is None and second is None else _SLOTS[1:] if newest_is_first else _SLOTS[:1]
     row = spark.range(1).select(
         instant(mark.processed_date).alias("processed_date"),
         (F.lit(None).cast("timestamp") if mark.run_at is None else instant(mark.run_at)).alias("run_at"),
         F.lit(mark.slice_id).cast("bigint").alias("slice_id"),
     )
-    row.write.mode("overwrite").parquet(f"{path}/{slot}")
+    for slot in slots:
+        row.write.mode("overwrite").parquet(f"{path}/{slot}")

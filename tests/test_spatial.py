@@ -45,9 +45,10 @@ def looked_up(spark, index, points, **options):
     return {r["i"]: r["area_id"] for r in out.collect()}
 
 
-@pytest.mark.parametrize("size", [0.3, 0.5, 1.0, 3.0, 50.0, None])
-def test_all_shapes_on_a_lattice(spark, size):
-    index = build_cells(boundaries(spark), size)
+@pytest.mark.parametrize("size, cell_edges", [(0.3, 256), (1.0, 256), (50.0, 256), (None, 256), (3.0, 3), (7.3, 6)])
+def test_all_shapes_on_a_lattice(spark, size, cell_edges):
+    index = build_cells(boundaries(spark), size, cell_edges=cell_edges)
+    assert (index.levels > 1) == (cell_edges < 256)
     points = [(x / 4, y / 4) for x, y in itertools.product(range(-14, 40), range(-14, 33))]
     got = looked_up(spark, index, points)
     wrong = [(p, got[i], expected(SHAPES, *p)) for i, p in enumerate(points) if got[i] != expected(SHAPES, *p)]
@@ -89,11 +90,12 @@ def test_candidates_behind_a_whole_cell_are_dropped(spark):
 
 
 def test_index_round_trip(spark, tmp_path):
-    index = build_cells(boundaries(spark), 0.7)
+    index = build_cells(boundaries(spark), 2.8, cell_edges=5)
     index.save(str(tmp_path / "cells"))
     again = AreaIndex.load(spark, str(tmp_path / "cells"))
+    assert again.levels == index.levels > 1
     points = [(x / 3, y / 3) for x, y in itertools.product(range(-10, 30), range(-10, 25))]
-    assert again.size == 0.7 and again.bytes == index.bytes
+    assert again.size == 2.8 and again.bytes == index.bytes
     assert looked_up(spark, again, points) == looked_up(spark, index, points)
 
 
@@ -139,17 +141,37 @@ def test_no_python_and_no_nested_loop_on_the_point_path(spark, tmp_path):
 coordinate = st.integers(-8, 8)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_crowd_in_one_cell_is_split(spark):
+    """A third of the areas in a corner of one cell, beside areas a thousand times as wide."""
+    shapes = {o: ([box(o * 40, 0, o * 40 + 40, 40)], polygon([box(o * 40, 0, o * 40 + 40, 40)])) for o in range(50, 90)}
+    for o in range(20):
+        ring = box(2100 + o / 8, 1.0, 2100 + (o + 1) / 8, 1.125)
+        shapes[o] = ([ring], polygon([ring]))
+    plain = build_cells(boundaries(spark, shapes), 40.0)
+    index = build_cells(boundaries(spark, shapes), 40.0, cell_edges=16)
+    assert plain.levels == 1 and index.levels > 2
+    worst = lambda i: i.cells.selectExpr("max(aggregate(areas, 0, (n, a) -> n + size(a.edges))) n").first()["n"]
+    assert worst(index) <= 16 < worst(plain)
+    # no cell lies at two levels
+    points = [(2100 + k / 16, 1.0 + j / 16) for k, j in itertools.product(range(-3, 45), range(-1, 4))]
+    points += [(2000.0 + 7 * k, 20.0) for k in range(20)]
+    got = looked_up(spark, index, points)
+    assert got == {i: expected(shapes, *p) for i, p in enumerate(points)}
+    assert got == looked_up(spark, plain, points)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     triangles=st.lists(st.tuples(*[st.tuples(coordinate, coordinate)] * 3), min_size=1, max_size=5),
-    size=st.sampled_from([0.25, 0.5, 1.0, 2.0, 5.0]),
+    size=st.sampled_from([0.25, 1.0, 2.0, 5.0]),
+    cell_edges=st.sampled_from([4, 256]),
 )
-def test_triangles_match_exact_arithmetic(spark, triangles, size):
+def test_triangles_match_exact_arithmetic(spark, triangles, size, cell_edges):
     shapes = {}
     for o, (a, b, c) in enumerate(triangles):
         ring = [a, b, c, a]
         shapes[o] = ([ring], polygon([ring]))
-    index = build_cells(boundaries(spark, shapes), size)
+    index = build_cells(boundaries(spark, shapes), size, cell_edges=cell_edges)
     points = [(x / 2, y / 2) for x, y in itertools.product(range(-17, 18), range(-17, 18))]
     got = looked_up(spark, index, points)
     assert {i: expected(shapes, *p) for i, p in enumerate(points)} == got
