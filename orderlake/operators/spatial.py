@@ -33,7 +33,7 @@ from orderlake.operators.enrich import BROADCAST_BYTES, lookup_join
 from orderlake.sources.boundaries import boundary_edges
 
 # Mean number of cells per polygon that the automatic cell size aims at.
-CELLS_PER_AREA = 256
+CELLS_PER_AREA = 64
 
 # A cell with more edges than this is split, at most LEVELS - 1 times, into
 # SPLIT by SPLIT cells. A power of two keeps the cells of two levels nested
@@ -42,6 +42,11 @@ CELL_EDGES = 256
 SPLIT = 8
 LEVELS = 4
 
+# No level gets more cells than this or, if more, than the first level has: the
+# index stays proportional to the boundaries also where splitting cannot help.
+# A crowded cell that is not split is slower, not wrong.
+LEVEL_CELLS = 1_000_000
+
 # Output column -> field of the area that it takes.
 AREA_NAMES = {"neighborhood": "neighborhood", "comune": "comune"}
 
@@ -112,20 +117,22 @@ def build_cells(
 
     crowded = F.aggregate("areas", F.lit(0), lambda n, a: n + F.size(a["edges"])) > cell_edges
     cells = _grid(outlines, size)
-    done, total, level = None, 0, 0
+    done, total, level, room = None, 0, 0, LEVEL_CELLS
     while True:
-        last = level == LEVELS - 1
-        stays = F.lit(True) if last else ~crowded
-        kept = cells.filter(stays)
         found = cells.agg(
-            F.coalesce(F.sum(F.when(stays, _cell_bytes())), F.lit(0)).alias("bytes"),
+            F.count(F.lit(1)).alias("cells"),
+            F.coalesce(F.sum(_cell_bytes()), F.lit(0)).alias("bytes"),
             F.count_if(crowded).alias("crowded"),
+            F.coalesce(F.sum(F.when(crowded, _cell_bytes())), F.lit(0)).alias("crowded_bytes"),
         ).first()
+        room = max(room, found["cells"]) if level == 0 else room
+        last = level == LEVELS - 1 or not found["crowded"] or found["crowded"] * SPLIT**2 > room
+        kept = cells if last else cells.filter(~crowded)
         at_level = kept.select(F.lit(level).alias("level"), "cx", "cy", "areas")
         done = at_level if done is None else done.unionByName(at_level)
-        total += found["bytes"]
+        total += found["bytes"] - (0 if last else found["crowded_bytes"])
         level += 1
-        if last or not found["crowded"]:
+        if last:
             return AreaIndex(done, size, level, total)
         parents = cells.filter(crowded).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
         cells = _grid(outlines, size / SPLIT**level, parents)
