@@ -62,17 +62,17 @@ class AreaIndex:
 
     def save(self, path: str) -> None:
         """Write the index as a table, to be built once per boundary table."""
-        self.cells.withColumn("size", F.lit(self.size)).write.mode("overwrite").parquet(path)
+        measures = {"size": F.lit(self.size), "bytes": F.lit(self.bytes).cast("bigint")}
+        self.cells.withColumns(measures).write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> AreaIndex:
         table = spark.read.parquet(path)
         found = table.agg(
-            F.max("size").alias("size"), F.max("level").alias("level"), F.sum(_cell_bytes()).alias("bytes")
+            F.max("size").alias("size"), F.max("level").alias("level"), F.max("bytes").alias("bytes")
         ).first()
-        return AreaIndex(
-            table.drop("size"), found["size"] or 1.0, (found["level"] or 0) + 1, found["bytes"] or 0
-        )
+        cells = table.drop("size", "bytes")
+        return AreaIndex(cells, found["size"] or 1.0, (found["level"] or 0) + 1, found["bytes"] or 0)
 
 
 def choose_cell_size(edges: DataFrame, cells_per_area: int = CELLS_PER_AREA) -> float:
@@ -106,7 +106,7 @@ def build_cells(
     """Index of (ord, area_id, neighborhood, comune, geometry) rows.
 
     ``ord`` must be unique; where areas overlap the lowest one wins. One small
-    aggregation per level measures the index and finds out if another is needed.
+    aggregation per level bounds the index's size and finds the crowded cells.
     """
     edges = boundary_edges(boundaries)
     size = float(size) if size is not None else choose_cell_size(edges, cells_per_area)
@@ -115,31 +115,35 @@ def build_cells(
     ranked = ["ord"] + [c for c in edges.columns if c not in ("ord", "x1", "y1", "x2", "y2")]
     outlines = edges.select(F.struct(*ranked).alias("area"), F.struct("x1", "y1", "x2", "y2").alias("edge"))
 
-    crowded = F.aggregate("areas", F.lit(0), lambda n, a: n + F.size(a["edges"])) > cell_edges
-    cells = _grid(outlines, size)
     done, total, level, room = None, 0, 0, LEVEL_CELLS
+    candidates = _candidates(outlines, size)
     while True:
-        found = cells.agg(
+        # counted before anything is collected, so no cell is collected to be split
+        weights = candidates.groupBy("cx", "cy").agg(
+            F.sum(F.size("candidate.edges")).alias("edges"), F.sum(_candidate_bytes()).alias("bytes")
+        )
+        crowded = F.col("edges") > cell_edges
+        found = weights.agg(
             F.count(F.lit(1)).alias("cells"),
-            F.coalesce(F.sum(_cell_bytes()), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
             F.count_if(crowded).alias("crowded"),
-            F.coalesce(F.sum(F.when(crowded, _cell_bytes())), F.lit(0)).alias("crowded_bytes"),
+            F.coalesce(F.sum(F.when(crowded, F.col("bytes"))), F.lit(0)).alias("crowded_bytes"),
         ).first()
         room = max(room, found["cells"]) if level == 0 else room
         last = level == LEVELS - 1 or not found["crowded"] or found["crowded"] * SPLIT**2 > room
-        kept = cells if last else cells.filter(~crowded)
-        at_level = kept.select(F.lit(level).alias("level"), "cx", "cy", "areas")
-        done = at_level if done is None else done.unionByName(at_level)
         total += found["bytes"] - (0 if last else found["crowded_bytes"])
+        split = weights.filter(crowded).select("cx", "cy")
+        kept = candidates if last else candidates.join(split, ["cx", "cy"], "left_anti")
+        cells = _collected(kept).select(F.lit(level).alias("level"), "cx", "cy", "areas")
+        done = cells if done is None else done.unionByName(cells)
         level += 1
         if last:
             return AreaIndex(done, size, level, total)
-        parents = cells.filter(crowded).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
-        cells = _grid(outlines, size / SPLIT**level, parents)
+        candidates = _candidates(outlines, size / SPLIT**level, split.toDF("px", "py"))
 
 
-def _grid(outlines: DataFrame, size: float, parents: DataFrame | None = None) -> DataFrame:
-    """Cells (cx, cy, areas) of one grid, or of the part of it under ``parents``."""
+def _candidates(outlines: DataFrame, size: float, parents: DataFrame | None = None) -> DataFrame:
+    """Rows (cx, cy, candidate) of one grid, or of the part of it under ``parents``."""
     spans = outlines.select(
         "area",
         "edge",
@@ -210,19 +214,22 @@ def _grid(outlines: DataFrame, size: float, parents: DataFrame | None = None) ->
     border = F.exists("spans", touches)
     passed = F.filter("spans", lambda s: right(s) & F.when(border, whole_row(s)).otherwise(at_middle(s)))
     deciding = F.filter("spans", lambda s: border & (touches(s) | (right(s) & part_of_row(s))))
+    return placed.select(
+        "cx",
+        "cy",
+        F.struct(
+            "area.*",
+            "box",
+            (F.size(passed) % 2).alias("parity"),
+            F.transform(deciding, lambda s: s["edge"]).alias("edges"),
+        ).alias("candidate"),
+    ).filter((F.col("candidate.parity") == 1) | (F.size("candidate.edges") > 0))
+
+
+def _collected(candidates: DataFrame) -> DataFrame:
+    """One row (cx, cy, areas) per cell, areas in their order."""
     return (
-        placed.select(
-            "cx",
-            "cy",
-            F.struct(
-                "area.*",
-                "box",
-                (F.size(passed) % 2).alias("parity"),
-                F.transform(deciding, lambda s: s["edge"]).alias("edges"),
-            ).alias("candidate"),
-        )
-        .filter((F.col("candidate.parity") == 1) | (F.size("candidate.edges") > 0))
-        .groupBy("cx", "cy")
+        candidates.groupBy("cx", "cy")
         .agg(F.sort_array(F.collect_list("candidate")).alias("areas"))
         .select(_as_int("cx"), _as_int("cy"), _up_to_first_whole("areas").alias("areas"))
     )
@@ -241,17 +248,10 @@ def _up_to_first_whole(areas: str) -> Column:
     return F.when(place > 0, F.slice(areas, F.lit(1), place)).otherwise(F.col(areas))
 
 
-def _cell_bytes() -> Column:
-    """Memory of a cell's row: four doubles and a header per edge, names and box."""
-    return F.aggregate(
-        "areas",
-        F.lit(64).cast("bigint"),
-        lambda n, a: n
-        + F.size(a["edges"]) * 56
-        + F.coalesce(F.octet_length(a["neighborhood"]), F.lit(0))
-        + F.coalesce(F.octet_length(a["comune"]), F.lit(0))
-        + F.lit(160),
-    )
+def _candidate_bytes() -> Column:
+    """Memory of a candidate: four doubles and a header per edge, names and box."""
+    text = [F.coalesce(F.octet_length(F.col(f"candidate.{c}")), F.lit(0)) for c in ("neighborhood", "comune")]
+    return (F.size("candidate.edges") * 56 + text[0] + text[1] + F.lit(224)).cast("bigint")
 
 
 def area_lookup(
