@@ -14,7 +14,7 @@ from orderlake.operators.incremental import incremental_slice
 from orderlake.operators.rollup import affected_days, daily_partials, keep_days, merge_partials
 from orderlake.sinks.parquet import replace_partitions
 from orderlake.sinks.progress import DEFAULT_MARK, Mark, as_mark, last_mark, write_progress
-from orderlake.sources.tables import read_if_present, read_table
+from orderlake.sources.tables import NAMED_DAYS, read_days, read_slices, read_table
 
 
 def run_gold(
@@ -38,31 +38,29 @@ def run_gold(
     """
     mark = last_mark(spark, progress)
     low = as_mark(spark, default) if mark is None else mark.processed_date
-    seen = None if mark is None else mark.slice_id
-    orders = _since(read_if_present(spark, silver), seen)
+    # only the newest slice seen can have been written again: older ones are done
+    orders = read_slices(spark, silver, None if mark is None else mark.slice_id)
     high, newest = (None, None) if orders is None else _bounds(orders, low)
     if high is None:
         return {"rows": None, "low": low, "high": None}
 
     changed = incremental_slice(orders, "processed_date", low, high)
-    # a slice has one processed_date, so it adds no groups
-    sums = daily_partials(changed, ["slice_id", "processed_date"])
-    replace_partitions(_few_files(sums, "slice_id"), partials, ["slice_id", "order_date"])
-    stored = read_table(spark, partials)
-    fresh = incremental_slice(_since(stored, seen), "processed_date", low, high)
-    days = keep_days(stored, affected_days(fresh))
-    rows = replace_partitions(_few_files(merge_partials(days, sort=False), "order_date"), gold, ["order_date"])
+    replace_partitions(_few_files(daily_partials(changed), "order_date"), partials, ["order_date", "slice_id"])
+    sums = _touched(spark, partials, affected_days(changed))
+    rows = replace_partitions(_few_files(merge_partials(sums, sort=False), "order_date"), gold, ["order_date"])
     if publish is not None:
         publish(*gold_contract(read_table(spark, gold)))
     write_progress(spark, progress, Mark(high, slice_id=newest))
     return {"rows": rows, "low": low, "high": high}
 
 
-def _since(table: DataFrame | None, slice_id: int | None) -> DataFrame | None:
-    """Prune slices before the newest one seen; only that one can change again."""
-    if table is None or slice_id is None:
-        return table
-    return table.filter(F.col("slice_id") >= F.lit(slice_id))
+def _touched(spark: SparkSession, partials: str, days: DataFrame) -> DataFrame:
+    """Sums of the touched days: named if they are few, as they mostly are, else joined."""
+    text = days.select(F.col("order_date").cast("string").alias("day"))
+    named = [row["day"] for row in text.take(NAMED_DAYS + 1)]
+    if len(named) <= NAMED_DAYS:
+        return read_days(spark, partials, named)
+    return keep_days(read_table(spark, partials), days)
 
 
 def _bounds(orders: DataFrame, low: datetime) -> tuple[datetime | None, int | None]:

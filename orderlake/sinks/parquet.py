@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from orderlake.functions.times import from_micros
+
 
 def append_table(df: DataFrame, path: str) -> int:
     """Append; returns the number of rows, counted while they are written."""
@@ -34,10 +36,17 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> i
 def write_slice(df: DataFrame, path: str, slice_id: int) -> int:
     """Write a slice into its own partition, replacing a failed attempt at it.
 
-    ``slice_id`` is the slice's lower bound. A second attempt may see more rows,
-    so its upper bound differs, but it starts at the same place.
+    ``slice_id`` is the slice's lower bound in microseconds. A second attempt may
+    see more rows, so its upper bound differs, but it starts at the same place.
+    Slices lie under the day of that bound; see ``sources.tables.read_slices``.
     """
-    return replace_partitions(df.withColumn("slice_id", F.lit(slice_id).cast("bigint")), path, ["slice_id"])
+    placed = df.withColumns(
+        {
+            "slice_day": F.lit(from_micros(slice_id).date()),
+            "slice_id": F.lit(slice_id).cast("bigint"),
+        }
+    )
+    return replace_partitions(placed, path, ["slice_day", "slice_id"])
 
 
 def _counted(df: DataFrame, observation: Observation) -> DataFrame:

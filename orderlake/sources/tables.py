@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.functions.times import instant
+from orderlake.functions.times import from_micros, instant
 from orderlake.schemas import BRONZE_SCHEMA, RANGE_SCHEMA
 
 # Days by which the ingest date of one instant can differ between two zones.
 _ZONE_DAYS = 2
 
+# Most day directories that are named one by one; beyond it a whole table is listed.
+NAMED_DAYS = 3660
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet table; ``schema`` saves the inference."""
@@ -23,14 +26,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_if_present(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
 ) -> DataFrame | None:
     """As :func:`read_table`, or ``None`` where nothing was written yet.
 
-    Only an absent path counts; a damaged or unreadable table raises.
+    Only an absent path counts; a damaged or unreadable table raises. ``base`` is
+    the table's root where ``path`` names a part of it.
     """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if base is not None:
+        reader = reader.option("basePath", base)
     try:
-        return read_table(spark, path, schema)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -60,6 +67,31 @@ def read_bronze(
     return raw
 
 
+def read_slices(spark: SparkSession, root: str, since: int | None = None) -> DataFrame | None:
+    """Slices from the one that begins at ``since`` on, or ``None`` without any.
+
+    Only the directories of the days from there on are listed, so reading what
+    is new costs the same after years as on the first day.
+    """
+    if since is None:
+        return read_if_present(spark, root)
+    first = from_micros(since).date()
+    # a slice begins at a time of arrival, so none begins after today
+    last = datetime.now(timezone.utc).date() + timedelta(days=_ZONE_DAYS)
+    count = (last - first).days + 1
+    if count > NAMED_DAYS:
+        table = read_if_present(spark, root)
+    else:
+        days = ",".join(str(first + timedelta(days=n)) for n in range(max(count, 1)))
+        table = read_if_present(spark, f"{root}/slice_day={{{days}}}", base=root)
+    return None if table is None else table.filter(F.col("slice_id") >= F.lit(since))
+
+
+def read_days(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
+    """The partitions ``order_date`` of the given days, which all exist."""
+    return spark.read.option("basePath", root).parquet(*[f"{root}/order_date={day}" for day in days])
+
+
 def read_ranges(spark: SparkSession, path: str) -> DataFrame:
     """Expected delivery minutes per area from a ``;`` separated file with header.
 

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from orderlake.functions.times import to_micros
 from orderlake.operators.contract import gold_contract
 from orderlake.operators.ingest import ingest_partitions
 from orderlake.operators.rollup import daily_partials, daily_sales, merge_partials, rollup_affected_days
@@ -16,7 +17,8 @@ from orderlake.plans.silver import run_silver
 from orderlake.schemas import GOLD_SCHEMA
 from orderlake.sinks.progress import Mark, last_mark, write_progress
 from orderlake.sources.lines import stream_lines
-from orderlake.sources.tables import read_bronze
+from orderlake.sinks.parquet import write_slice
+from orderlake.sources.tables import read_bronze, read_slices
 from orderlake.streaming.bronze import run_bronze
 from tests.helpers import dimensions, order
 
@@ -144,7 +146,7 @@ def test_silver_rows(spark, tmp_path, dims):
     assert table.columns == [
         "latitude", "longitude", "order_date", "dispatch_date", "delivery_date", "customer_id",
         "employee_id", "quantity_products", "order_id", "order_hour", "order_minute", "time_delivery",
-        "working_day", "processed_date", "employee_name", "customer_name", "neighborhood", "comune", "slice_id",
+        "working_day", "processed_date", "employee_name", "customer_name", "neighborhood", "comune", "slice_day", "slice_id",
     ]
     rows = sorted(table.collect(), key=lambda r: r["order_id"])
     assert [r["order_id"] for r in rows] == ["o1", "o1", "o2"]
@@ -252,6 +254,30 @@ def test_gold_does_not_touch_other_days(spark, tmp_path, dims):
     assert not any("order_date=2024-03-02" in f for f in before & after)
 
 
+@pytest.mark.parametrize("named", [0, 1, 3660])
+def test_new_slices_are_found_however_many_days_lie_between(spark, tmp_path, dims, monkeypatch, named):
+    monkeypatch.setattr("orderlake.sources.tables.NAMED_DAYS", named)
+    monkeypatch.setattr("orderlake.plans.gold.NAMED_DAYS", named)
+    layout = Layout(str(tmp_path))
+    for n, at in enumerate(["2024-03-01 10:00:00", "2024-03-01 23:59:59", "2025-01-07 00:00:01"]):
+        put(spark, layout.bronze, [order(2 * n, day=n), order(2 * n + 1, day=0)], at)
+        silver(spark, layout, dims)
+        gold(spark, layout)
+    assert rows_of(spark.read.parquet(layout.gold)) == rows_of(daily_sales(spark.read.parquet(layout.silver)))
+    assert spark.read.parquet(layout.gold).agg(F.sum("order_count")).first()[0] == 6
+
+
+def test_reading_new_slices_lists_their_days_only(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    days = [datetime(2024, 3, d, 5, tzinfo=UTC) for d in (1, 2, 3)]
+    for day in days:
+        write_slice(spark.range(2), root, to_micros(day))
+    new = read_slices(spark, root, to_micros(days[1]))
+    assert new.count() == 4 and len({f.split("slice_day=")[1][:10] for f in new.inputFiles()}) == 2
+    assert read_slices(spark, root, to_micros(datetime(2024, 4, 1, tzinfo=UTC))) is None
+    assert read_slices(spark, root).count() == 6
+
+
 def test_whole_chain_in_two_calls(spark, tmp_path, dims):
     layout = Layout(str(tmp_path / "lake"))
     (tmp_path / "in").mkdir()
