@@ -17,7 +17,7 @@ from orderlake.operators.spatial import AreaIndex, area_lookup
 from orderlake.schemas import ORDER_SCHEMA
 from orderlake.sinks.parquet import write_slice
 from orderlake.sinks.progress import DEFAULT_MARK, Mark, as_mark, last_mark, write_progress
-from orderlake.sources.tables import read_bronze
+from orderlake.sources.tables import read_bronze, read_slices
 
 
 def clean_orders(raw: DataFrame, schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
@@ -74,10 +74,13 @@ def run_silver(
     if high is None:
         return {"rows": None, "low": low, "high": None}
 
+    # the next layer reads by this stamp, so it must grow whatever the clock does
     at = now or datetime.now(timezone.utc)
-    if mark is not None and mark.run_at is not None:
-        # the next layer reads by this stamp, so it must grow whatever the clock does
-        at = max(at, mark.run_at + timedelta(microseconds=1))
+    attempt = read_slices(spark, silver, to_micros(low))
+    failed = None if attempt is None else slice_high(attempt, "processed_date")
+    for earlier in (None if mark is None else mark.run_at, failed):
+        if earlier is not None:
+            at = max(at, earlier + timedelta(microseconds=1))
     raw = incremental_slice(read_bronze(spark, bronze, low, high), "timestamp", low, high)
     orders = enrich_orders(clean_orders(raw), employees, customers, areas, at)
     rows = write_slice(orders, silver, to_micros(low))

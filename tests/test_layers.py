@@ -184,7 +184,7 @@ def test_silver_repeats_a_slice_whose_mark_was_not_written(spark, tmp_path, dims
     lost = str(tmp_path / "lost_progress")
     write_progress(spark, lost, before)
     put(spark, layout.bronze, [order(3)], "2024-03-01 10:20:00")
-    done = run_silver(spark, again.bronze, again.silver, lost, *dims)
+    done = run_silver(spark, again.bronze, again.silver, lost, *dims, now=datetime(2024, 1, 2, tzinfo=UTC))
     assert done["rows"] == 2
     assert sorted(r["order_id"] for r in spark.read.parquet(layout.silver).collect()) == ["o1", "o2", "o3"]
     gold(spark, layout)
