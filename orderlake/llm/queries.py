@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_digests
+from .line_dedup import drop_common_lines
 from .shared import shared_folder
+from .sharding import range_shards
 from .token_store import TokenStore
 
 
@@ -29,13 +31,49 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.fetch(docs, "doc_id").withColumnRenamed("key", "doc_id")
 
 
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 40 characters or more in 5 documents or more stay in the last one only."""
+    kept = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 shards of near equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce(docs.text, F.lit(""))
+    shards = range_shards(docs, 40, carry={"text_crc32": F.crc32(text)})
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op4_line_runs": op4_line_runs,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
+    "op9_histogram_shards": op9_histogram_shards,
 }
 
-ORACLES: dict[str, str] = {}
+LINES_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(a))) AS pos, unnest(a) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.keeper AS dropped FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+ORACLES: dict[str, str] = {"op4_line_runs": LINES_SQL}
