@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_digests
 from .line_dedup import drop_common_lines
+from .quality import fit_quality, score_quality
 from .shared import shared_folder
 from .sharding import range_shards
 from .token_store import TokenStore
+from .top_k import top_k
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -37,6 +39,15 @@ def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text, learned from labels outside the held-out third."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = fit_quality(docs, labels.filter(~held_out))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op8_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -51,11 +62,18 @@ def op9_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of each 50th vector."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op4_line_runs": op4_line_runs,
+    "op7_compression_quality": op7_compression_quality,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
     "op9_histogram_shards": op9_histogram_shards,
+    "op10_kd_top_k": op10_kd_top_k,
 }
 
 LINES_SQL = r"""
@@ -76,4 +94,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
 
-ORACLES: dict[str, str] = {"op4_line_runs": LINES_SQL}
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5"""
+
+ORACLES: dict[str, str] = {"op4_line_runs": LINES_SQL, "op10_kd_top_k": TOP_K_SQL}
