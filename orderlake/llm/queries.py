@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_digests
 from .line_dedup import drop_common_lines
+from .near_dedup import near_copies
 from .quality import fit_quality, score_quality
 from .shared import shared_folder
 from .sharding import range_shards
@@ -33,6 +34,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.fetch(docs, "doc_id").withColumnRenamed("key", "doc_id")
 
 
+def op3_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies on sets of 2-word shingles."""
+    return near_copies(table(spark, sf_dir, "documents"), words=2)
+
+
 def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 characters or more in 5 documents or more stay in the last one only."""
     kept = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -69,6 +75,7 @@ def op10_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op3_signature_join": op3_signature_join,
     "op4_line_runs": op4_line_runs,
     "op7_compression_quality": op7_compression_quality,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
@@ -94,6 +101,41 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
 
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM words
+), classes AS (
+  SELECT min(doc_id) AS rep, list_sort(s) AS s, len(s) AS n FROM shingled WHERE len(s) > 0 GROUP BY list_sort(s), len(s)
+), posted AS (
+  SELECT rep, n, unnest(s) AS t FROM classes
+), times AS (
+  SELECT t, count(*) AS c FROM posted GROUP BY t
+), ranked AS (
+  SELECT rep, n, posted.t, row_number() OVER (PARTITION BY rep ORDER BY c, posted.t) AS r FROM posted JOIN times USING (t)
+), prefixes AS (  -- sets as similar meet within this many of their rarest shingles
+  SELECT * FROM ranked WHERE r <= n - (80 * n + 99) // 100 + 1
+), pairs AS (
+  SELECT DISTINCT a.rep AS a, b.rep AS b FROM prefixes a JOIN prefixes b ON a.t = b.t AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), links AS (
+  SELECT a, b FROM pairs JOIN classes x ON a = x.rep JOIN classes y ON b = y.rep
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))
+), reach AS (
+  SELECT rep AS node, rep AS other FROM classes
+  UNION
+  SELECT r.node, CASE WHEN l.a = r.other THEN l.b ELSE l.a END FROM reach r JOIN links l ON r.other = l.a OR r.other = l.b
+), joined AS (
+  SELECT node, min(other) AS component FROM reach GROUP BY node
+)
+SELECT doc_id, CAST(len(sh.s) AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id,
+       coalesce(component, doc_id) = doc_id AS kept
+FROM shingled sh LEFT JOIN classes c ON list_sort(sh.s) = c.s LEFT JOIN joined ON c.rep = node"""
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -109,4 +151,4 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op4_line_runs": LINES_SQL, "op10_kd_top_k": TOP_K_SQL}
+ORACLES: dict[str, str] = {"op3_signature_join": NEAR_SQL, "op4_line_runs": LINES_SQL, "op10_kd_top_k": TOP_K_SQL}
