@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_digests
 from .line_dedup import drop_common_lines
 from .near_dedup import near_copies
+from .positional_index import PositionalIndex
 from .quality import fit_quality, score_quality
 from .shared import shared_folder
 from .sharding import range_shards
@@ -45,6 +46,13 @@ def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold passages of the benchmark."""
+    index = PositionalIndex(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = index.contamination()
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every whole text, learned from labels outside the held-out third."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op3_signature_join": op3_signature_join,
     "op4_line_runs": op4_line_runs,
+    "op5_positional_index": op5_positional_index,
     "op7_compression_quality": op7_compression_quality,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
     "op9_histogram_shards": op9_histogram_shards,
@@ -136,6 +145,33 @@ SELECT doc_id, CAST(len(sh.s) AS BIGINT) AS n_shingles, coalesce(component, doc_
        coalesce(component, doc_id) = doc_id AS kept
 FROM shingled sh LEFT JOIN classes c ON list_sort(sh.s) = c.s LEFT JOIN joined ON c.rep = node"""
 
+PHRASES_SQL = r"""
+WITH both_texts AS (
+  SELECT 'd' AS kind, CAST(doc_id AS VARCHAR) AS id, text FROM documents
+  UNION ALL SELECT 'i', CAST(item_id AS VARCHAR), text FROM benchmark
+), words AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM both_texts
+), windows AS (
+  SELECT DISTINCT id AS item, least(len(w), 13) AS n, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS phrase
+  FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM words WHERE kind = 'i' AND len(w) > 0)
+), lengths AS (
+  SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT id AS doc, n, s, array_to_string(w[s:s + n - 1], ' ') AS phrase
+  FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM words, lengths WHERE kind = 'd' AND len(w) >= n)
+), hits AS (
+  SELECT doc, item, s, places.n FROM places JOIN windows USING (n, phrase)
+), hit_words AS (
+  SELECT doc, count(DISTINCT p) AS n_hit FROM (SELECT doc, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc
+), hit_items AS (
+  SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc, item FROM hits) GROUP BY doc
+)
+SELECT CAST(id AS BIGINT) AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit_words h ON h.doc = id LEFT JOIN hit_items i ON i.doc = id WHERE kind = 'd'"""
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -151,4 +187,4 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op3_signature_join": NEAR_SQL, "op4_line_runs": LINES_SQL, "op10_kd_top_k": TOP_K_SQL}
+ORACLES: dict[str, str] = {"op3_signature_join": NEAR_SQL, "op4_line_runs": LINES_SQL, "op5_positional_index": PHRASES_SQL, "op10_kd_top_k": TOP_K_SQL}
