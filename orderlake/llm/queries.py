@@ -16,6 +16,7 @@ from .shared import shared_folder
 from .sharding import range_shards
 from .token_store import TokenStore
 from .top_k import top_k
+from .warc import Archive
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -53,6 +54,11 @@ def op5_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
 
 
+def op6_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back through the merged index."""
+    return Archive.write(table(spark, sf_dir, "pages"), shared_folder(spark, "warc")).digests()
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of every whole text, learned from labels outside the held-out third."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_signature_join": op3_signature_join,
     "op4_line_runs": op4_line_runs,
     "op5_positional_index": op5_positional_index,
+    "op6_warc_merge": op6_warc_merge,
     "op7_compression_quality": op7_compression_quality,
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
     "op9_histogram_shards": op9_histogram_shards,
@@ -172,6 +179,17 @@ SELECT CAST(id AS BIGINT) AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN hit_words h ON h.doc = id LEFT JOIN hit_items i ON i.doc = id WHERE kind = 'd'"""
 
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), m AS (
+  SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN m USING (payload_digest)"""
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -187,4 +205,4 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op3_signature_join": NEAR_SQL, "op4_line_runs": LINES_SQL, "op5_positional_index": PHRASES_SQL, "op10_kd_top_k": TOP_K_SQL}
+ORACLES: dict[str, str] = {"op3_signature_join": NEAR_SQL, "op4_line_runs": LINES_SQL, "op5_positional_index": PHRASES_SQL, "op6_warc_merge": WARC_SQL, "op10_kd_top_k": TOP_K_SQL}

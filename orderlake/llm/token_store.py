@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .files import open_file
 from .fragments import FragmentEncoder
 from .perfect_hash import PerfectHash, fingerprints
 from .shared import worker_store, written
@@ -34,14 +35,6 @@ MAGIC = b"OLTOKENS"
 NO_KEY = -(2**63)
 
 
-def _open(path: str, write: bool = False):
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    if not write:
-        return system.open_input_file(inner)
-    system.create_dir(inner.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(inner)
 
 
 class TokenStore:
@@ -162,7 +155,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, shard_ids: int, shar
                     out, seq = None, seq + 1
                 if out is None:
                     path = f"{folder}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.ids"
-                    out = (_open(path, write=True), path, [], [0])
+                    out = (open_file(path, write=True), path, [], [0])
                     out[0].write(MAGIC + np.array([dtype.itemsize], "<i8").tobytes())
                 data = b"".join(encoder.encode(text.as_py())) + end
                 out[0].write(data)
@@ -193,7 +186,7 @@ def _read_entries(batches):
 
     for batch in batches:
         for shard, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            with _open(path) as stream:
+            with open_file(path) as stream:
                 keys = _table(stream)[1]
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             counts = np.diff(np.r_[first, len(keys)])
@@ -218,7 +211,7 @@ def _index_writer(folder: str):
         path = f"{folder}/{bucket:06d}-{uuid.uuid4().hex}.mph"
         data = io.BytesIO()
         np.savez(data, **arrays)
-        with _open(path, write=True) as stream:
+        with open_file(path, write=True) as stream:
             stream.write(data.getvalue())
         return pd.DataFrame({"bucket": pd.Series([bucket], dtype="int32"), "path": [path], "n_keys": [len(keys)]})
 
@@ -229,7 +222,7 @@ def _locate(frame):
     import numpy as np
     import pandas as pd
 
-    with _open(frame.path.iloc[0]) as stream:
+    with open_file(frame.path.iloc[0]) as stream:
         arrays = np.load(io.BytesIO(stream.read()))
         arrays = {k: arrays[k] for k in arrays.files}
     keys = frame.key.to_numpy()
@@ -255,7 +248,7 @@ def _fetcher(with_ids: bool):
                 if where != path:
                     if stream is not None:
                         stream.close()
-                    path, stream = where, _open(where)
+                    path, stream = where, open_file(where)
                     width, keys, starts = _table(stream)
                 if keys[row] != key:  # a fingerprint met by chance
                     continue
