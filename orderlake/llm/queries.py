@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_digests
+from .html_text import main_text
 from .line_dedup import drop_common_lines
 from .near_dedup import near_copies
 from .positional_index import PositionalIndex
@@ -36,6 +37,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.fetch(docs, "doc_id").withColumnRenamed("key", "doc_id")
 
 
+def op2_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies on sets of 2-word shingles."""
     return near_copies(table(spark, sf_dir, "documents"), words=2)
@@ -89,6 +95,7 @@ def op10_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_page_differencing": op2_page_differencing,
     "op3_signature_join": op3_signature_join,
     "op4_line_runs": op4_line_runs,
     "op5_positional_index": op5_positional_index,
