@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import only
 
@@ -72,14 +73,19 @@ def fit_quality(
     model = QualityModel(good, bad, window, level, *flat, (0.0, 0.0, 0.0))
 
     rest = sample.filter(F.pmod(F.shiftright("h", 8), F.lit(2)) == 1)
-    points = rest.select("quality", "text").mapInArrow(_measure(model, None), "quality int, x double, y double").collect()
+    points = rest.select("quality", "text").mapInArrow(_measure(model, 1, True), "quality int, x double, y double").collect()
     return QualityModel(good, bad, window, level, *_curve([(r.x, r.y) for r in points], [r.quality for r in points]))
 
 
-def score_quality(docs: DataFrame, model: QualityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The id and ``score`` (0 to 1, higher: likelier good) of every whole text, null as empty; no shuffle."""
-    schema = f"`{id_column}` {dict(docs.dtypes)[id_column]}, score double"
-    return only(docs, id_column, text_column).mapInArrow(_measure(model, id_column), schema)
+def score_quality(docs: DataFrame, model: QualityModel, text_column: str = "text") -> DataFrame:
+    """``docs`` with ``score`` (0 to 1, higher: likelier good) of every whole text, null as empty; no shuffle.
+
+    All columns stay; one named ``score`` is replaced.
+    """
+    names = [c for c in docs.columns if c.lower() != "score"]
+    docs = only(docs, *names)
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(_measure(model, names.index(text_column), False), schema)
 
 
 def _log_odds(share: float) -> float:
@@ -115,8 +121,8 @@ def _curve(points: list[tuple[float, float]], labels: list[int]):
     return tuple(map(float, means)), tuple(map(float, scales)), tuple(map(float, w))
 
 
-def _measure(model: QualityModel, id_column: str | None):
-    """Per text the two measures (``id_column`` None), or the id and the score."""
+def _measure(model: QualityModel, text_at: int, points: bool):
+    """Per row the label (first column) and the two measures, or all columns and the score."""
 
     def run(batches):
         import math
@@ -136,20 +142,20 @@ def _measure(model: QualityModel, id_column: str | None):
         constant, *weights = model.weights
         for batch in batches:
             xs, ys = [], []
-            for text in batch.column(1):
+            for text in batch.column(text_at):
                 data = (text.as_py() or "").encode("utf-8")
                 parts = [data[i : i + width] for i in range(0, len(data), width)] or [b""]
                 g, b = sum([len(good(p)) for p in parts]), sum([len(bad(p)) for p in parts])
                 xs.append((b - g) / (b + g))
                 ys.append(math.log((g + b) / (len(data) + 16 * len(parts))))
-            if id_column is None:
+            if points:
                 arrays, names = [batch.column(0).cast(pa.int32()), pa.array(xs, pa.float64()), pa.array(ys, pa.float64())], ["quality", "x", "y"]
             else:
                 scores = []
                 for pair in zip(xs, ys):
                     at = constant + sum(w * (v - m) / s for w, v, m, s in zip(weights, pair, model.means, model.scales))
                     scores.append(1 / (1 + math.exp(-min(max(at, -500), 500))))
-                arrays, names = [batch.column(0), pa.array(scores, pa.float64())], [id_column, "score"]
+                arrays, names = [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run

@@ -71,7 +71,7 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = fit_quality(docs, labels.filter(~held_out))
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
-    return score_quality(docs, model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+    return score_quality(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
 def op8_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
