@@ -1,31 +1,75 @@
-"""Corpus pipeline over ``documents``: stages written one after another."""
+"""Corpus pipeline over ``documents``: five stages, each written and read again."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlake.llm.bpe import encode_digests
-from orderlake.llm.queries import vocabulary
+from orderlake.llm.line_dedup import drop_common_lines
+from orderlake.llm.near_dedup import near_copies
+from orderlake.llm.positional_index import PositionalIndex
+from orderlake.llm.quality import fit_quality, score_quality
+from orderlake.llm.queries import table, vocabulary
 from orderlake.llm.shared import shared_folder, written
 
+#: Stands for a null id in joins.
+NO_ID = -(2**63)
+
+
+def _id(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score at least 0.5; learned from labels outside the held-out third."""
+    labels = table(spark, sf_dir, "labels").filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    return score_quality(docs, fit_quality(docs, labels)).filter("score >= 0.5").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that five or more share; the last one keeps them."""
+    kept = drop_common_lines(docs).withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long"))
+    return kept.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five words, 80 %): that with the least id."""
+    kept = _id(near_copies(docs).filter("kept")).select("_id").distinct()
+    rows = _id(docs).withColumn("_text", F.xxhash64("text")).join(kept, "_id", "left_semi")
+    return rows.dropDuplicates(["_id", "_text"]).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in passages of the benchmark."""
+    found = PositionalIndex(docs, table(spark, sf_dir, "benchmark")).contamination()
+    hit = _id(found.filter("contaminated")).select("_id").distinct()
+    return _id(docs).join(hit, "_id", "left_anti").select(*docs.columns)
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every whole text, as digests."""
+    """Token ids of every whole text and the text decoded from them, as digests."""
     return encode_digests(docs, vocabulary())
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("bpe", encode)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("bpe", encode),
+]
 
-#: The classifier and the tokenizer can't be expressed in SQL.
+#: Neither the classifier nor the tokenizer can be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written and read again."""
     folder = shared_folder(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"{folder}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
