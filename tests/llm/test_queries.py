@@ -1,0 +1,193 @@
+"""The registered queries against their SQL, and against plain Python where SQL can't express them."""
+
+import hashlib
+import re
+import struct
+import zlib
+from html import unescape
+
+import duckdb
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from orderlake.llm.queries import ORACLES, QUERIES, vocabulary
+from tests.conftest import SF_DIR
+from tests.test_catalogue import TABLES, canonical
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return connection
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return sorted(spark.read.parquet(f"{SF_DIR}/documents.parquet").collect(), key=lambda r: r.doc_id)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(vocabulary())
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_sql(spark, duck, name):
+    df = QUERIES[name](spark, SF_DIR)
+    relation = duck.sql(ORACLES[name])
+    assert sorted(df.columns) == sorted(relation.columns)
+    assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(relation.fetchall(), relation.columns)
+
+
+def test_token_store(spark, documents, tokenizer):
+    got = {r.doc_id: r for r in QUERIES["op1_token_store"](spark, SF_DIR).collect()}
+    start = 0
+    for d in documents:
+        ids = [*tokenizer.encode(d.text or "", add_special_tokens=False).ids, 2]
+        crc = zlib.crc32(b"".join(struct.pack("<I", i) for i in ids))
+        r = got[d.doc_id]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), crc)
+        start += len(ids)
+    assert len(got) == len(documents)
+
+
+def test_pages(spark):
+    """The given pages mark their article; its blocks are the text."""
+    got = {r.page_id: r for r in QUERIES["op2_page_differencing"](spark, SF_DIR).collect()}
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()
+    for p in pages:
+        inner = re.search("<article>(.*)</article>", p.html, re.S)[1]
+        blocks = re.split(r"</?(?:p|h1)\b[^>]*>", inner)
+        blocks = [" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in blocks]
+        want = "\n\n".join(b for b in blocks if b)
+        r = got[p.page_id]
+        assert (r.url, r.text, r.n_chars) == (p.url, want, len(want))
+    assert len(got) == len(pages)
+
+
+def test_quality_on_held_out_labels(spark):
+    got = {r.doc_id: r for r in QUERIES["op7_compression_quality"](spark, "/root/testdata/sf0.01").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    for doc_id, r in got.items():
+        assert r.held_out == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    held = [(got[x.doc_id].predicted, x.quality) for x in labels if x.doc_id in got and got[x.doc_id].held_out]
+    assert sum(a == b for a, b in held) >= 0.95 * len(held) > 0
+
+
+def test_bpe(spark, documents, tokenizer):
+    got = {r.doc_id: r for r in QUERIES["op8_forced_boundary_bpe"](spark, SF_DIR).collect()}
+    for d in documents:
+        ids = tokenizer.encode(d.text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        r = got[d.doc_id]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(decoded))
+    assert len(got) == len(documents)
+
+
+def test_shards(spark, documents):
+    got = {r.doc_id: r for r in QUERIES["op9_histogram_shards"](spark, SF_DIR).collect()}
+    slots, sizes = {}, {}
+    for d in documents:
+        text, r = (d.text or "").encode(), got[d.doc_id]
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(text) + 16, zlib.crc32(text), "bytes", None)
+        slots.setdefault(r.shard, []).append(r.slot)
+        sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+    assert len(got) == len(documents) and set(slots) <= set(range(40))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    largest = max(r.size for r in got.values())
+    assert max(sizes.values()) - min(sizes.values()) <= largest + 0.01 * sum(sizes.values()) / 40
+
+
+def shingles(text, n):
+    words = [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def least_of_group(docs, n, percent):
+    sets, parent = {d: shingles(t, n) for d, t in docs.items()}, {d: d for d in docs}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(d for d in docs if sets[d])
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted([top(a), top(b)])
+                parent[y] = x
+    return {d: top(d) for d in docs}
+
+
+def words(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [w for w in re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower) if w]
+
+
+def test_pipeline_stage_by_stage(spark, tokenizer):
+    """Each stage against plain Python on its own input; run() gives the same rows as the stages."""
+    read = spark.read.parquet
+    docs = read(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "line_dedup", "near_dedup", "decontaminate", "bpe"]
+    before = {r.doc_id: r for r in docs.collect()}
+
+    df = stages["quality"](spark, docs, SF_DIR).cache()
+    good = {r.doc_id: r for r in df.collect()}
+    assert df.columns == columns and all(before[d] == r for d, r in good.items())
+    labels = {r.doc_id: r.quality for r in read(f"{SF_DIR}/labels.parquet").collect()}
+    known = [(d in good) == (labels[d] == 1) for d in before if d in labels]
+    assert sum(known) >= 0.9 * len(known)
+
+    df = stages["line_dedup"](spark, df, SF_DIR).cache()
+    trimmed, holders = {r.doc_id: r for r in df.collect()}, {}
+    key = lambda line: re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
+    for d, r in good.items():
+        for line in r.text.split("\n"):
+            if len(key(line)) >= 40:
+                holders.setdefault(key(line), set()).add(d)
+    for d, r in good.items():
+        common = {k for k, ids in holders.items() if len(ids) >= 5 and max(ids) != d}
+        want = "\n".join(x for x in r.text.split("\n") if key(x) not in common)
+        assert (trimmed[d].text, trimmed[d].n_chars, trimmed[d].source) == (want, len(want), r.source)
+    assert df.columns == columns and set(trimmed) == set(good)
+
+    df = stages["near_dedup"](spark, df, SF_DIR).cache()
+    groups = least_of_group({d: r.text for d, r in trimmed.items()}, 5, 80)
+    single = {r.doc_id: r for r in df.collect()}
+    assert set(single) == {d for d, g in groups.items() if d == g} and len(single) < len(trimmed)
+    assert df.columns == columns and all(trimmed[d] == r for d, r in single.items())
+
+    df = stages["decontaminate"](spark, df, SF_DIR).cache()
+    windows = {}
+    for r in read(f"{SF_DIR}/benchmark.parquet").collect():
+        w = words(r.text)
+        n = min(13, len(w))
+        for i in range(len(w) - n + 1 if w else 0):
+            windows.setdefault(n, set()).add(tuple(w[i : i + n]))
+    clean = {r.doc_id: r for r in df.collect()}
+    for d, r in single.items():
+        w, hit = words(r.text), set()
+        for n, found in windows.items():
+            for i in range(len(w) - n + 1):
+                if tuple(w[i : i + n]) in found:
+                    hit.update(range(i, i + n))
+        assert (d in clean) == (not (hit and 20 * len(hit) >= len(w)))
+    assert df.columns == columns and len(clean) < len(single)
+
+    rows = {tuple(r) for r in stages["bpe"](spark, df, SF_DIR).collect()}
+    for d, n, ids, decoded in rows:
+        told = tokenizer.encode(clean[d].text, add_special_tokens=False).ids
+        assert (n, ids, decoded) == (len(told), sha(",".join(map(str, told))), sha(clean[d].text))
+    assert len(rows) == len(clean)
+    assert {tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == rows
