@@ -101,7 +101,7 @@ def range_shards(
     size = (F.octet_length(text) + F.lit(16)).cast("long")
     carried = [value.alias(name) for name, value in (carry or {}).items()]
     # written once: the numbers of the rows must be the same in each round
-    rows = written(df.select(key.alias("key"), df[id_column], size.alias("size"), *carried), f"{folder}/keys")
+    rows = written(df.select(key.alias("key"), size.alias("size"), F.struct(df[id_column], *carried).alias("kept")), f"{folder}/keys")
     total = rows.agg(F.sum("size")).first()[0] or 0
     each = max(1, -(-total // (shards * part_bytes)))
     splitters = find_splitters(rows, shards * each, tolerance)
@@ -111,7 +111,7 @@ def range_shards(
     number = F.row_number().over(Window.partitionBy("part").orderBy("key"))
     slot = number - 1 + F.element_at(offsets, F.col("part") + 1)
     shard = F.floor(F.col("part") / each).cast("int")
-    return rows.select(id_column, "size", *(carry or {}), shard.alias("shard"), slot.cast("long").alias("slot"))
+    return rows.select("kept.*", "size", shard.alias("shard"), slot.cast("long").alias("slot"))
 
 
 def _part_of(key: Column, boundaries: list[str]) -> Column:
