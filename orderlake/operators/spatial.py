@@ -211,9 +211,15 @@ def _candidates(outlines: DataFrame, size: float, parents: DataFrame | None = No
     def at_middle(s: Column) -> Column:
         return (s["edge"]["y1"] <= middle) & (middle < s["edge"]["y2"])
 
-    border = F.exists("spans", touches)
-    passed = F.filter("spans", lambda s: right(s) & F.when(border, whole_row(s)).otherwise(at_middle(s)))
-    deciding = F.filter("spans", lambda s: border & (touches(s) | (right(s) & part_of_row(s))))
+    # asked once per cell, not inside the functions below, where it would run for each edge
+    placed = placed.withColumn("border", F.exists("spans", touches))
+    border = F.col("border")
+    passed = F.when(border, F.filter("spans", lambda s: right(s) & whole_row(s))).otherwise(
+        F.filter("spans", lambda s: right(s) & at_middle(s))
+    )
+    deciding = F.filter(
+        F.when(border, F.col("spans")).otherwise(F.slice("spans", 1, 0)), lambda s: touches(s) | (right(s) & part_of_row(s))
+    )
     return placed.select(
         "cx",
         "cy",

@@ -25,13 +25,11 @@ def read_boundaries(spark: SparkSession, path: str, order: str | None = None) ->
     """Boundaries as (ord, area_id, neighborhood, comune, geometry).
 
     ``ord`` is unique and ranks the areas; where two contain a point the lower
-    one wins. A table of one file is ranked by its row order, a table of several
-    files by ``order`` (default OBJECTID), ties by file and row.
+    one wins. Rank is the place in the table, files by name, or the column
+    ``order`` and then the place: the same however many files there are.
     """
     table = spark.read.parquet(path)
     area_id, neighborhood, comune, geometry = BOUNDARY_COLUMNS
-    if order is None and len(table.inputFiles()) > 1:
-        order = area_id
     rank = F.lit(0).cast("bigint") if order is None else F.col(order)
     return table.select(
         F.struct(
