@@ -2,22 +2,24 @@
 
 bronze  ingest a line stream        areas  prepare the boundary index
 silver  process the new raw rows    gold   roll up the new orders and publish them
+pipeline  all three layers once, for a scheduler to repeat
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlake.operators.spatial import AreaIndex, build_cells
 from orderlake.plans.gold import run_gold
-from orderlake.plans.pipeline import Layout
+from orderlake.plans.pipeline import Layout, run_pipeline
 from orderlake.plans.silver import run_silver
 from orderlake.sinks.jdbc import write_jdbc
+from orderlake.sinks.progress import DEFAULT_MARK
 from orderlake.sources.boundaries import read_boundaries
 from orderlake.sources.lines import stream_lines
 from orderlake.sources.tables import read_table
@@ -33,9 +35,6 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
 
     bronze = jobs.add_parser("bronze")
-    bronze.add_argument("--root", required=True)
-    bronze.add_argument("--source", default="text", help="streaming format, such as text, kafka or socket")
-    bronze.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     bronze.add_argument("--available-now", action="store_true", help="stop when the source is read up")
     bronze.add_argument("--interval", default="2 minutes")
     bronze.add_argument("--files", type=int, help="most files per batch")
@@ -47,16 +46,24 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     areas.add_argument("--size", type=float, help="cell side (default: from the boundaries)")
 
     silver = jobs.add_parser("silver")
-    silver.add_argument("--root", required=True)
-    for name in ("employees", "customers", "areas"):
-        silver.add_argument(f"--{name}", required=True)
-    silver.add_argument("--span-hours", type=float, help="longest slice of a backlog")
-
     gold = jobs.add_parser("gold")
-    gold.add_argument("--root", required=True)
-    gold.add_argument("--jdbc-url")
-    gold.add_argument("--jdbc-table", default="daily_sales")
-    gold.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    whole = jobs.add_parser("pipeline")
+
+    for job in (bronze, silver, gold, whole):
+        job.add_argument("--root", required=True)
+    for job in (bronze, whole):
+        job.add_argument("--source", default="text", help="streaming format, such as text, kafka or socket")
+        job.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    for job in (silver, whole):
+        for name in ("employees", "customers", "areas"):
+            job.add_argument(f"--{name}", required=True)
+        job.add_argument("--span-hours", type=float, help="longest slice of a backlog")
+    for job in (gold, whole):
+        job.add_argument("--jdbc-url")
+        job.add_argument("--jdbc-table", default="daily_sales")
+        job.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    for job in (silver, gold, whole):
+        job.add_argument("--default", default=DEFAULT_MARK, help="mark of a layer that never ran")
     return parser.parse_args(argv)
 
 
@@ -80,31 +87,47 @@ def _bronze(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> di
     return {}
 
 
+def _dimensions(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame, AreaIndex]:
+    return read_table(spark, args.employees), read_table(spark, args.customers), AreaIndex.load(spark, args.areas)
+
+
+def _span(args: argparse.Namespace) -> timedelta | None:
+    return None if args.span_hours is None else timedelta(hours=args.span_hours)
+
+
 def _silver(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
     return run_silver(
         spark,
         layout.bronze,
         layout.silver,
         layout.silver_progress,
-        read_table(spark, args.employees),
-        read_table(spark, args.customers),
-        AreaIndex.load(spark, args.areas),
-        span=None if args.span_hours is None else timedelta(hours=args.span_hours),
+        *_dimensions(spark, args),
+        default=args.default,
+        span=_span(args),
     )
 
 
-def _gold(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
+def _publisher(layout: Layout, args: argparse.Namespace) -> Callable[[DataFrame, DataFrame], None]:
     def publish(valid: DataFrame, rejected: DataFrame) -> None:
         rejected.write.mode("overwrite").parquet(layout.path("gold_rejected"))
         if args.jdbc_url:
             write_jdbc(valid, args.jdbc_url, args.jdbc_table, _pairs(args.jdbc_option))
 
-    return run_gold(
-        spark, layout.silver, layout.partials, layout.gold, layout.gold_progress, publish
-    )
+    return publish
+
+
+def _gold(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
+    tables = layout.silver, layout.partials, layout.gold, layout.gold_progress
+    return run_gold(spark, *tables, _publisher(layout, args), args.default)
+
+
+def _pipeline(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
+    lines = stream_lines(spark, args.source, **_pairs(args.option))
+    people = _dimensions(spark, args)
+    return run_pipeline(spark, lines, layout, *people, _publisher(layout, args), args.default, _span(args))
 
 
-_LAYERS = {"bronze": _bronze, "silver": _silver, "gold": _gold}
+_LAYERS = {"bronze": _bronze, "silver": _silver, "gold": _gold, "pipeline": _pipeline}
 
 
 if __name__ == "__main__":

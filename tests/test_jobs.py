@@ -37,6 +37,13 @@ def test_all_jobs(spark, tmp_path, capsys, monkeypatch):
     rejected = spark.read.parquet(at("lake/gold_rejected")).collect()
     assert [r["reject_reason"] for r in rejected] == ["neighborhood, comune"]
 
+    whole = ["pipeline", "--root", at("lake2"), "--option", f"path={at('in')}", *silver[3:], "--default", "2024-01-01"]
+    done = run(capsys, spark, *whole)
+    assert done["silver"] == {"rows": 3, "slices": 1} and done["gold"]["rows"] == 3
+    later = [*whole[:-1], "2999-01-01"]
+    later[2] = at("lake3")
+    assert run(capsys, spark, *later)["silver"]["rows"] is None
+
 
 def test_a_failing_job_raises(spark, tmp_path):
     with pytest.raises(Exception):
