@@ -192,6 +192,7 @@ LEFT JOIN customer ON customer_id = c_custkey""",
   SELECT CAST(order_date AS DATE) FROM src WHERE quantity_products > 97 AND hour(order_date) = 3)"""
     ),
     "merge_partials": _WITH_TIMED + _ROLLUP.format(where=""),
+    "merge_replaced_slice": _WITH_TIMED + _ROLLUP.format(where=""),
     "gold_contract": f"""
 {_WITH_TIMED}, {_TIMES_FIVE}
 SELECT order_date, neighborhood, comune, working_day,

@@ -18,6 +18,7 @@ from orderlake.operators.ingest import ingest_partitions
 from orderlake.operators.parse import parse_orders
 from orderlake.operators.ranges import delivery_range_check
 from orderlake.operators.rollup import (
+    carry_partials,
     daily_partials,
     daily_sales,
     merge_partials,
@@ -210,6 +211,14 @@ def merged_slices(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(merge_partials(daily_partials(silver)))
 
 
+def replaced_slice(spark: SparkSession, d: str) -> DataFrame:
+    """Partials of a slice whose first attempt held more days than the second: the rest came with a later slice."""
+    silver = _located(spark, d)
+    first = silver.withColumn("slice_id", F.when(F.col("customer_id") % 3 == 0, 0).otherwise(1).cast("bigint"))
+    again = silver.withColumn("slice_id", (F.col("customer_id") % 3).cast("bigint")).filter("slice_id > 0")
+    return _rounded(merge_partials(carry_partials(daily_partials(first), daily_partials(again), since=1, closed_below=1)))
+
+
 def _checked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The contract on averages five times as long, so that some overflow."""
     rollup = daily_sales(_located(spark, d), sort=False)
@@ -254,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "daily_sales": sales,
     "rollup_affected_days": affected_days,
     "merge_partials": merged_slices,
+    "merge_replaced_slice": replaced_slice,
     "gold_contract": contract,
     "gold_rejected": rejected,
 }

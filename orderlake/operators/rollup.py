@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlake.operators.enrich import BROADCAST_BYTES, payload_bytes
 from orderlake.schemas import GOLD_KEYS, GOLD_SCHEMA
 
+# The slice of rows that no later attempt can change.
+CLOSED = -(2**63)
+
 _AVERAGES = {
     "average_delivery_time": "time_delivery",
     "latitude": "latitude",
@@ -42,6 +46,25 @@ def daily_partials(silver: DataFrame, by: Sequence[str] = ("slice_id",)) -> Data
     return day.groupBy(*GOLD_KEYS, *by).agg(*sums)
 
 
+def carry_partials(
+    old: DataFrame, new: DataFrame, since: int | None, closed_below: int | None = None
+) -> DataFrame:
+    """Partial rows once the slices from ``since`` on were written (again).
+
+    All old rows of such slices go, whatever days they are of; ``new`` has what
+    the slices hold now. ``since=None``: all old rows go. Slices below
+    ``closed_below`` can't be written again: they become one row per key, so the
+    table grows with its keys and not with the number of slices.
+    """
+    kept = old.limit(0) if since is None else old.filter(F.col("slice_id") < F.lit(since))
+    if closed_below is not None:
+        closed = F.col("slice_id") < F.lit(closed_below)
+        kept = kept.withColumn("slice_id", F.when(closed, F.lit(CLOSED)).otherwise(F.col("slice_id")))
+    both = kept.unionByName(new)
+    sums = [c for c in new.columns if c not in (*GOLD_KEYS, "slice_id")]
+    return both.groupBy(*GOLD_KEYS, "slice_id").agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def merge_partials(partials: DataFrame, sort: bool = True) -> DataFrame:
     """The rollup that :func:`daily_sales` gives for all rows behind ``partials``."""
     rolled = partials.groupBy(*GOLD_KEYS).agg(
@@ -63,10 +86,13 @@ def affected_days(changed: DataFrame) -> DataFrame:
 def keep_days(table: DataFrame, days: DataFrame) -> DataFrame:
     """Rows of ``table`` whose ``order_date`` falls on one of ``days``.
 
-    The broadcast is bounded: a date type has under 4 million values.
+    A missing day counts as a day. The days are measured before they are
+    broadcast, as any lookup table.
     """
     wanted = days.select(F.col("order_date").alias("_day"))
-    return table.join(F.broadcast(wanted), F.to_date(table["order_date"]) == wanted["_day"], "left_semi")
+    if payload_bytes(wanted) <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
+    return table.join(wanted, F.to_date(table["order_date"]).eqNullSafe(F.col("_day")), "left_semi")
 
 
 def rollup_affected_days(silver: DataFrame, changed: DataFrame, sort: bool = True) -> DataFrame:

@@ -8,13 +8,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.functions.times import from_micros
+from orderlake.functions.times import from_micros, instant
 from orderlake.operators.contract import gold_contract
-from orderlake.operators.incremental import incremental_slice
-from orderlake.operators.rollup import affected_days, daily_partials, keep_days, merge_partials
-from orderlake.sinks.parquet import replace_partitions
+from orderlake.operators.rollup import carry_partials, daily_partials, keep_days, merge_partials
+from orderlake.sinks.parquet import drop_partitions, replace_partitions
 from orderlake.sinks.progress import DEFAULT_MARK, Mark, as_mark, last_mark, write_progress
-from orderlake.sources.tables import NAMED_DAYS, read_days, read_slices, read_table
+from orderlake.sources.tables import read_if_present, read_slices, read_table
 
 
 def run_gold(
@@ -25,51 +24,92 @@ def run_gold(
     progress: str,
     publish: Callable[[DataFrame, DataFrame], None] | None = None,
     default: datetime | str = DEFAULT_MARK,
+    publish_days: Callable[[DataFrame, DataFrame, DataFrame], None] | None = None,
 ) -> dict[str, object]:
     """Roll up the slices written since the last mark; returns metrics.
 
-    Only new slices are read. Their sums and counts are kept per day and slice
-    in ``partials``; the days they touch are merged from there and replaced in
-    ``gold``, so a day that arrives in many slices has one row per key. Every
-    step can be repeated; the mark moves last.
+    Only slices from the last one seen on are read, once: their sums and counts
+    per day go to ``<partials>_new``, and all else follows from these few rows.
+    ``partials`` keeps per day one row per key for the slices that are done and
+    the rows of each slice that may be written again. A slice that was, or that
+    is empty now, loses its old rows on all days that they are of. The touched
+    days are merged and replaced in ``gold``; days without orders are deleted.
+    Every step can be repeated; the mark moves last.
 
-    ``publish(valid, rejected)`` gets the whole table split by the contract, for
-    a database copy.
+    ``publish(valid, rejected)`` gets the whole table split by the contract, to
+    refill a copy. ``publish_days(days, valid, rejected)`` gets the touched days
+    (order_date) and their rows only: delete the days and insert the rows, in
+    one transaction.
     """
     mark = last_mark(spark, progress)
     low = as_mark(spark, default) if mark is None else mark.processed_date
     # only the newest slice seen can have been written again: older ones are done
-    orders = read_slices(spark, silver, None if mark is None else mark.slice_id)
-    high, newest = (None, None) if orders is None else _bounds(orders, low)
-    if high is None:
+    seen = None if mark is None else mark.slice_id
+    orders = read_slices(spark, silver, seen)
+    if orders is None and (seen is None or not _holds(spark, partials, seen)):
+        return {"rows": None, "low": low, "high": None}
+    if orders is not None:
+        staged = daily_partials(orders, ("slice_id", "processed_date"))
+        staged.write.mode("overwrite").parquet(f"{partials}_new")
+    staged = read_table(spark, f"{partials}_new")
+    if orders is None:  # the last slice is gone, and there is no other
+        staged = staged.limit(0)
+    fresh = staged.filter(F.col("processed_date") > instant(low, staged.schema["processed_date"].dataType))
+    found = fresh.agg(
+        F.max(F.unix_micros(F.col("processed_date").cast("timestamp"))).alias("high"),
+        F.max("slice_id").alias("newest"),
+        F.min("slice_id").alias("first"),
+    ).first()
+    emptied = seen is not None and not staged.filter(F.col("slice_id") == seen).take(1)
+    emptied = emptied and _holds(spark, partials, seen)
+    if found["high"] is None and not emptied:
         return {"rows": None, "low": low, "high": None}
 
-    changed = incremental_slice(orders, "processed_date", low, high)
-    replace_partitions(_few_files(daily_partials(changed), "order_date"), partials, ["order_date", "slice_id"])
-    sums = _touched(spark, partials, affected_days(changed))
-    rows = replace_partitions(_few_files(merge_partials(sums, sort=False), "order_date"), gold, ["order_date"])
+    high = low if found["high"] is None else max(low, from_micros(found["high"]))
+    since = None if seen is None else seen if emptied or found["first"] == seen else seen + 1
+    rows, days = _replace_days(spark, partials, gold, fresh.drop("processed_date"), since, seen)
+    # with its schema: a table whose last day was deleted has no file to tell it
+    table = read_table(spark, gold, merge_partials(fresh.drop("processed_date"), sort=False).schema)
     if publish is not None:
-        publish(*gold_contract(read_table(spark, gold)))
+        publish(*gold_contract(table))
+    if publish_days is not None:
+        publish_days(days, *gold_contract(keep_days(table, days)))
+    newest = found["newest"] if seen is None else max(seen, found["newest"] or seen)
     write_progress(spark, progress, Mark(high, slice_id=newest))
     return {"rows": rows, "low": low, "high": high}
 
 
-def _touched(spark: SparkSession, partials: str, days: DataFrame) -> DataFrame:
-    """Sums of the touched days: named if they are few, as they mostly are, else joined."""
-    text = days.select(F.col("order_date").cast("string").alias("day"))
-    named = [row["day"] for row in text.take(NAMED_DAYS + 1)]
-    if len(named) <= NAMED_DAYS:
-        return read_days(spark, partials, named)
-    return keep_days(read_table(spark, partials), days)
+def _replace_days(
+    spark: SparkSession, partials: str, gold: str, fresh: DataFrame, since: int | None, closed_below: int | None
+) -> tuple[int, DataFrame]:
+    """Replace the touched days in both tables; the rows of gold written, and the days."""
+    old = read_if_present(spark, partials, fresh.schema)
+    if old is None:
+        old = fresh.limit(0)
+    going = old if since is None else old.filter(F.col("slice_id") >= F.lit(since))
+    touched = fresh.select("order_date").unionByName(going.select("order_date")).distinct()
+    # written: the tables that it follows from are replaced below
+    touched.write.mode("overwrite").parquet(f"{partials}_days")
+    days = read_table(spark, f"{partials}_days")
+    carried = carry_partials(keep_days(old, days), fresh, since, closed_below)
+    replace_partitions(_few_files(carried, "order_date"), partials, ["order_date"])
+    # a day that has lost its last row has nothing to replace its directory with
+    left = carry_partials(keep_days(read_table(spark, partials, fresh.schema), days), fresh, since)
+    lost = days.join(left.select("order_date").distinct(), "order_date", "left_anti")
+    lost = [r["day"] for r in lost.select(F.col("order_date").cast("string").alias("day")).collect()]
+    for table in (partials, gold):
+        drop_partitions(spark, table, "order_date", lost)
+    sums = keep_days(read_table(spark, partials, fresh.schema), days)
+    rows = replace_partitions(_few_files(merge_partials(sums, sort=False), "order_date"), gold, ["order_date"])
+    return rows, days
 
 
-def _bounds(orders: DataFrame, low: datetime) -> tuple[datetime | None, int | None]:
-    row = (
-        incremental_slice(orders, "processed_date", low)
-        .agg(F.max(F.unix_micros("processed_date")).alias("high"), F.max("slice_id").alias("newest"))
-        .first()
-    )
-    return (None, None) if row["high"] is None else (from_micros(row["high"]), row["newest"])
+def _holds(spark: SparkSession, partials: str, slice_id: int) -> bool:
+    staged = read_if_present(spark, f"{partials}_new")
+    if staged is None:
+        return False
+    table = read_if_present(spark, partials, staged.drop("processed_date").schema)
+    return table is not None and bool(table.filter(F.col("slice_id") == slice_id).take(1))
 
 
 def _few_files(rolled: DataFrame, *columns: str) -> DataFrame:

@@ -17,7 +17,7 @@ from orderlake.operators.spatial import AreaIndex, area_lookup
 from orderlake.schemas import ORDER_SCHEMA
 from orderlake.sinks.parquet import write_slice
 from orderlake.sinks.progress import DEFAULT_MARK, Mark, as_mark, last_mark, write_progress
-from orderlake.sources.tables import read_bronze, read_slices
+from orderlake.sources.tables import between_days, read_bronze, read_slices
 
 
 def clean_orders(raw: DataFrame, schema: T.StructType = ORDER_SCHEMA) -> DataFrame:
@@ -81,7 +81,8 @@ def run_silver(
     for earlier in (None if mark is None else mark.run_at, failed):
         if earlier is not None:
             at = max(at, earlier + timedelta(microseconds=1))
-    raw = incremental_slice(read_bronze(spark, bronze, low, high), "timestamp", low, high)
+    # of the files listed above: what arrives meanwhile is the next slice's
+    raw = incremental_slice(between_days(raw, high=high), "timestamp", low, high)
     orders = enrich_orders(clean_orders(raw), employees, customers, areas, at)
     rows = write_slice(orders, silver, to_micros(low))
     write_progress(spark, progress, Mark(high, at))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.times import from_micros
+from orderlake.sources.tables import file_system
 
 
 def append_table(df: DataFrame, path: str) -> int:
@@ -37,16 +38,22 @@ def write_slice(df: DataFrame, path: str, slice_id: int) -> int:
     """Write a slice into its own partition, replacing a failed attempt at it.
 
     ``slice_id`` is the slice's lower bound in microseconds. A second attempt may
-    see more rows, so its upper bound differs, but it starts at the same place.
-    Slices lie under the day of that bound; see ``sources.tables.read_slices``.
+    see other rows, so its upper bound differs, but it starts at the same place.
+    The slice's directory is overwritten as a whole: an attempt without a row
+    leaves an empty slice, not the rows of the attempt before it. Slices lie
+    under the day of their bound; see ``sources.tables.read_slices``.
     """
-    placed = df.withColumns(
-        {
-            "slice_day": F.lit(from_micros(slice_id).date()),
-            "slice_id": F.lit(slice_id).cast("bigint"),
-        }
-    )
-    return replace_partitions(placed, path, ["slice_day", "slice_id"])
+    observation = Observation()
+    place = f"{path}/slice_day={from_micros(slice_id).date()}/slice_id={slice_id}"
+    _counted(df, observation).write.mode("overwrite").parquet(place)
+    return _rows(observation)
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> None:
+    """Delete partition directories that have no rows any more; absent ones don't matter."""
+    for value in values:
+        system, place = file_system(spark, f"{path}/{column}={value}")
+        system.delete(place, True)
 
 
 def _counted(df: DataFrame, observation: Observation) -> DataFrame:

@@ -1,5 +1,6 @@
 import time
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -18,7 +19,7 @@ from orderlake.schemas import GOLD_SCHEMA
 from orderlake.sinks.progress import Mark, last_mark, write_progress
 from orderlake.sources.lines import stream_lines
 from orderlake.sinks.parquet import write_slice
-from orderlake.sources.tables import read_bronze, read_slices
+from orderlake.sources.tables import read_bronze, read_ranges, read_slices
 from orderlake.streaming.bronze import run_bronze
 from tests.helpers import dimensions, order
 
@@ -254,17 +255,90 @@ def test_gold_does_not_touch_other_days(spark, tmp_path, dims):
     assert not any("order_date=2024-03-02" in f for f in before & after)
 
 
-@pytest.mark.parametrize("named", [0, 1, 3660])
-def test_new_slices_are_found_however_many_days_lie_between(spark, tmp_path, dims, monkeypatch, named):
-    monkeypatch.setattr("orderlake.sources.tables.NAMED_DAYS", named)
-    monkeypatch.setattr("orderlake.plans.gold.NAMED_DAYS", named)
+def test_new_slices_are_found_however_many_days_lie_between(spark, tmp_path, dims):
     layout = Layout(str(tmp_path))
-    for n, at in enumerate(["2024-03-01 10:00:00", "2024-03-01 23:59:59", "2025-01-07 00:00:01"]):
+    for n, at in enumerate(["2024-03-01 10:00:00", "2024-03-01 23:59:59", "2025-01-07 00:00:01", "2099-01-01 00:00:00", "2099-01-02 00:00:00"]):
         put(spark, layout.bronze, [order(2 * n, day=n), order(2 * n + 1, day=0)], at)
         silver(spark, layout, dims)
         gold(spark, layout)
     assert rows_of(spark.read.parquet(layout.gold)) == rows_of(daily_sales(spark.read.parquet(layout.silver)))
-    assert spark.read.parquet(layout.gold).agg(F.sum("order_count")).first()[0] == 6
+    assert spark.read.parquet(layout.gold).agg(F.sum("order_count")).first()[0] == 10
+
+
+def agree(spark, layout, valid):
+    """Silver has every valid line once, and gold is its rollup."""
+    table = spark.read.parquet(layout.silver)
+    assert sorted(r["order_id"] for r in table.collect()) == valid
+    whole = daily_sales(table)
+    assert rows_of(spark.read.schema(whole.schema).parquet(layout.gold)) == rows_of(whole)
+
+
+def lose(path):
+    for file in sorted(Path(path).rglob("*"), reverse=True):
+        file.unlink() if file.is_file() else file.rmdir()
+    Path(path).rmdir()
+
+
+def test_lost_mark_and_shorter_span(spark, tmp_path, dims):
+    layout = Layout(str(tmp_path))
+    put(spark, layout.bronze, [order(1), order(2, day=1)], "2024-03-05 10:00:00")
+    put(spark, layout.bronze, [order(3), order(4, day=2)], "2024-03-05 15:00:00")
+    assert silver(spark, layout, dims)["rows"] == 4
+    gold(spark, layout)
+    agree(spark, layout, ["o1", "o2", "o3", "o4"])
+    lose(layout.silver_progress)
+    assert silver(spark, layout, dims, span=timedelta(hours=1))["rows"] == 2
+    gold(spark, layout)
+    agree(spark, layout, ["o1", "o2"])
+    assert silver(spark, layout, dims, span=timedelta(hours=1))["rows"] == 2
+    gold(spark, layout)
+    agree(spark, layout, ["o1", "o2", "o3", "o4"])
+    put(spark, layout.bronze, [order(5, day=1)], "2024-03-05 16:00:00")
+    silver(spark, layout, dims)
+    gold(spark, layout)
+    agree(spark, layout, ["o1", "o2", "o3", "o4", "o5"])
+    # one row per key of what can't change any more
+    assert spark.read.parquet(layout.partials).groupBy("order_date", "neighborhood", "working_day", "slice_id").count().filter("count > 1").count() == 0
+
+
+def test_second_attempt_without_a_row(spark, tmp_path, dims):
+    layout = Layout(str(tmp_path))
+    put(spark, layout.bronze, ["unreadable"], "2024-03-05 10:00:00")
+    put(spark, layout.bronze, [order(1)], "2024-03-05 15:00:00")
+    assert silver(spark, layout, dims)["rows"] == 1
+    gold(spark, layout)
+    lose(layout.silver_progress)
+    assert silver(spark, layout, dims, span=timedelta(hours=1))["rows"] == 0
+    gold(spark, layout)
+    agree(spark, layout, [])
+    silver(spark, layout, dims, span=timedelta(hours=1))
+    gold(spark, layout)
+    agree(spark, layout, ["o1"])
+
+
+def test_changed_days_are_published_alone(spark, tmp_path, dims):
+    layout, told = Layout(str(tmp_path)), []
+
+    def publish_days(days, valid, rejected):
+        told.append((sorted(str(r["order_date"]) for r in days.collect()), sorted(str(r["order_date"]) for r in valid.collect()), rejected.count()))
+
+    for hour, lines in ((10, [order(1), order(2, day=1)]), (11, [order(3, day=1), order(4, day=1, x=9.5)])):
+        put(spark, layout.bronze, lines, f"2024-03-05 {hour}:00:00")
+        silver(spark, layout, dims)
+        gold(spark, layout, publish_days=publish_days)
+    assert told == [(["2024-03-01", "2024-03-02"], ["2024-03-01", "2024-03-02"], 0), (["2024-03-02"], ["2024-03-02"], 1)]
+
+
+def test_range_files(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "b.csv").write_text("objec_id;t_min;t_max\n1;5;6\n" + "2;1;2\n" * 500)
+    (tmp_path / "r" / "a.csv").write_text("objec_id;t_min;t_max\n1;10;20\n")
+    first = read_ranges(spark, str(tmp_path / "r")).filter("area_id = 1").orderBy("ord").first()
+    assert (first["t_min"], first["t_max"]) == (10, 20)
+    for name, text in (("order", "t_max;objec_id;t_min\n20;1;10\n"), ("value", "objec_id;t_min;t_max\none;10;20\n")):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception):
+            read_ranges(spark, str(tmp_path / name)).collect()
 
 
 def test_reading_new_slices_lists_their_days_only(spark, tmp_path):
