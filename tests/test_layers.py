@@ -416,6 +416,7 @@ def test_contract_reasons(spark):
         "order_count": ok[:5] + (2**40,) + ok[6:],
         "average_delivery_time": ok[:6] + (999.995,) + ok[7:],
         "latitude": ok[:7] + (float("nan"),) + ok[8:],
+        "longitude": ok[:8] + (float("-inf"),),
         "neighborhood, comune": ok[:1] + (None, None) + ok[3:],
     }
     schema = (
@@ -428,3 +429,11 @@ def test_contract_reasons(spark):
     assert str(row["average_delivery_time"]) == "12.35"
     assert [f.nullable for f in valid.schema.fields] == [False] * 9
     assert dict(valid.dtypes)["total_quantity"] == "int"
+
+
+def test_contract_of_other_types(spark):
+    fields = "a boolean, b timestamp, c binary, d array<int>, e float, f string"
+    declared = spark.createDataFrame([], fields).schema
+    rows = spark.createDataFrame([(True, datetime(2024, 1, 1), b"x", [1], 1.0, "s"), (None,) * 6], fields)
+    valid, rejected = gold_contract(rows, declared)
+    assert valid.count() == 1 and rejected.first()["reject_reason"] == "a, b, c, d, e, f"
