@@ -3,7 +3,8 @@
 BENCH_SF_DIR: directory of the tables (default /root/testdata/sf0.1).
 BENCH_CPUS: local cores (default all). BENCH_RUNS: timed runs, the best counts.
 Arguments: names of the queries to time (default all, and the three layers).
-The layers run once over the orders as text lines, in a new folder under /tmp.
+BENCH_ROOT: URI of a folder that the executors share, where the layers run once
+over the orders as text lines (default a temporary folder, for local masters).
 """
 
 from __future__ import annotations
@@ -29,9 +30,17 @@ from orderlake.sources.lines import stream_lines  # noqa: E402
 from orderlake.streaming.bronze import run_bronze  # noqa: E402
 
 
+def bench_root() -> str:
+    """A new folder for the layers' tables under BENCH_ROOT, a URI that all executors share."""
+    shared = os.environ.get("BENCH_ROOT")
+    if shared:
+        return f"{shared.rstrip('/')}/run-{time.time_ns()}"
+    return tempfile.mkdtemp(prefix="run-")  # one machine: any folder is shared
+
+
 def layers(spark: SparkSession, sf_dir: str) -> dict[str, float]:
     """Seconds of one run of each layer, from text lines to the rollup."""
-    layout = Layout(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    layout = Layout(bench_root())
     lines, cells = layout.path("lines"), layout.path("cells")
     roles.raw(spark, sf_dir).select("value").write.text(lines)
     roles.areas(spark, sf_dir).save(cells)

@@ -13,7 +13,7 @@ from orderlake.operators.clean import dedupe, drop_incomplete
 from orderlake.operators.contract import gold_contract
 from orderlake.operators.derive import derive_times, working_day
 from orderlake.operators.enrich import enrich_name
-from orderlake.operators.incremental import incremental_slice, latest
+from orderlake.operators.incremental import incremental_slice
 from orderlake.operators.ingest import ingest_partitions
 from orderlake.operators.parse import parse_orders
 from orderlake.operators.ranges import delivery_range_check
@@ -26,6 +26,8 @@ from orderlake.operators.rollup import (
 )
 from orderlake.operators.spatial import area_lookup
 from orderlake.plans.silver import clean_orders, enrich_orders
+from orderlake.sinks.parquet import counted
+from orderlake.sinks.progress import latest_mark
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,11 +183,21 @@ def new_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def mark(spark: SparkSession, d: str) -> DataFrame:
-    return latest(roles.table(spark, d, "events"), "ts", "2024-01-01", "processed_date")
+    """The events as marks: the last one as a layer finds it."""
+    events = roles.table(spark, d, "events")
+    marks = events.select(
+        F.col("ts").cast("timestamp").alias("processed_date"),
+        F.lit(None).cast("timestamp").alias("run_at"),
+        F.col("event_id").alias("slice_id"),
+    )
+    return latest_mark(marks).select(F.timestamp_micros("mark").cast(_NTZ).alias("processed_date"))
 
 
 def rows(spark: SparkSession, d: str) -> DataFrame:
-    return roles.table(spark, d, "events").agg(F.count(F.lit(1)).alias("row_count"))
+    """The events counted while they are written, as the jobs count theirs."""
+    events = roles.table(spark, d, "events")
+    written = counted(events, lambda df: df.write.format("noop").mode("overwrite").save())
+    return spark.createDataFrame([(written,)], "row_count bigint")
 
 
 def silver_orders(spark: SparkSession, d: str) -> DataFrame:

@@ -51,8 +51,3 @@ def _extremes(df: DataFrame, column: str) -> tuple[datetime | None, datetime | N
     row = df.agg(F.min(micros).alias("first"), F.max(micros).alias("last")).first()
     return tuple(None if v is None else from_micros(v) for v in row)
 
-
-def latest(df: DataFrame, column: str, default: datetime | str, out: str) -> DataFrame:
-    """One row with the largest value of ``column``, or ``default`` without any."""
-    kind = df.schema[column].dataType
-    return df.agg(F.coalesce(F.max(column), instant(default, kind)).alias(out))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +13,7 @@ from orderlake.sources.tables import file_system
 
 def append_table(df: DataFrame, path: str) -> int:
     """Append; returns the number of rows, counted while they are written."""
-    observation = Observation()
-    _counted(df, observation).write.mode("append").parquet(path)
-    return _rows(observation)
+    return counted(df, lambda rows: rows.write.mode("append").parquet(path))
 
 
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> int:
@@ -23,15 +21,12 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> i
 
     Running it again with the same rows changes nothing.
     """
-    observation = Observation()
-    (
-        _counted(df, observation)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-    return _rows(observation)
+
+    def write(rows: DataFrame) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(path)
+
+    return counted(df, write)
 
 
 def write_slice(df: DataFrame, path: str, slice_id: int) -> int:
@@ -43,10 +38,8 @@ def write_slice(df: DataFrame, path: str, slice_id: int) -> int:
     leaves an empty slice, not the rows of the attempt before it. Slices lie
     under the day of their bound; see ``sources.tables.read_slices``.
     """
-    observation = Observation()
     place = f"{path}/slice_day={from_micros(slice_id).date()}/slice_id={slice_id}"
-    _counted(df, observation).write.mode("overwrite").parquet(place)
-    return _rows(observation)
+    return counted(df, lambda rows: rows.write.mode("overwrite").parquet(place))
 
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable[str]) -> None:
@@ -56,9 +49,8 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterabl
         system.delete(place, True)
 
 
-def _counted(df: DataFrame, observation: Observation) -> DataFrame:
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"))
-
-
-def _rows(observation: Observation) -> int:
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Let ``write`` write the rows; returns their number, counted on the way."""
+    observation = Observation()
+    write(df.observe(observation, F.count(F.lit(1)).alias("rows")))
     return observation.get.get("rows", 0)

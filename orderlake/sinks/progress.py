@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,21 +38,19 @@ class Mark(NamedTuple):
     slice_id: int | None = None
 
 
+def latest_mark(marks: DataFrame) -> DataFrame:
+    """One row ``mark, run_at`` (microseconds) and ``slice_id``: the largest mark, nulls without any."""
+    fields = F.unix_micros("processed_date").alias("mark"), F.unix_micros("run_at").alias("run_at"), "slice_id"
+    return marks.agg(F.max(F.struct(*fields)).alias("last")).select("last.*")
+
+
 def _slots(spark: SparkSession, path: str) -> list[Mark | None]:
     marks: list[Mark | None] = []
     for slot in _SLOTS:
         table = read_if_present(spark, f"{path}/{slot}", _SCHEMA)
         row = None
         if table is not None:
-            row = table.agg(
-                F.max(
-                    F.struct(
-                        F.unix_micros("processed_date").alias("mark"),
-                        F.unix_micros("run_at").alias("run_at"),
-                        "slice_id",
-                    )
-                ).alias("last")
-            ).first()["last"]
+            row = latest_mark(table).first()
         if row is None or row["mark"] is None:
             marks.append(None)
         else:
