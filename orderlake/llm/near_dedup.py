@@ -13,8 +13,11 @@
    members are all in one component are skipped from then on, as no pair in
    them can change the result. So a group of thousands of near copies costs a
    few rows per member and not all its pairs.
-4. At last all pairs across components that still share a list are counted and
-   confirmed likewise. No pair is left out.
+4. At last all pairs across components that still share a list are counted, in
+   blocks of bounded size and each in the first list that the two share. Of each
+   block only the documents with a pair at or above ``match`` get their full
+   sets, where the pairs are confirmed. No pair is left out, and none becomes a
+   row of a table unless it is a link.
 """
 
 from __future__ import annotations
@@ -45,6 +48,8 @@ def near_copies(
     smallest id reachable, ``kept`` whether it is the row's own. A null id is
     the least id of all when classes are formed and comes back as null.
     """
+    if not match <= coordinates <= 64:
+        raise ValueError("match <= coordinates <= 64")
     spark, folder = docs.sparkSession, shared_folder(docs.sparkSession, "near")
     texts = only(docs, id_column, text_column).toDF("id", "text")
     texts = texts.withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(-(2**63))))
@@ -86,34 +91,43 @@ def _links(spark: SparkSession, texts: DataFrame, reps: DataFrame, folder: str,
     sets = written(sets, f"{folder}/sets").join(reps, "id")
     sets = written(sets, f"{folder}/confirm")
 
-    order = F.xxhash64  # each round orders the members anew
-    tried = links = None
+    links = None
     labels = posted.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
     for turn in range(rounds + 1):
         current = posted.join(labels, F.col("id") == F.col("node"), "left").select("token", "id", "n", F.coalesce("component", "id").alias("c"))
-        spread = current.groupBy("token").agg(
-            F.min("c").alias("c_min"), F.max("c").alias("c_max"), F.min(F.struct(order(F.lit(turn), F.col("id")), F.col("id"), F.col("n"), F.col("c"))).alias("lead")
-        )
+        # each round orders the members anew
+        lead = F.min(F.struct(F.xxhash64(F.lit(turn), "id"), F.col("id"), F.col("n"), F.col("c")))
+        spread = current.groupBy("token").agg(F.min("c").alias("c_min"), F.max("c").alias("c_max"), F.count("*").alias("members"), lead.alias("lead"))
         spread = spread.filter("c_min <> c_max")
-        if turn < rounds:
-            led = spread.select("token", F.col("lead.id").alias("x"), F.col("lead.n").alias("xn"), F.col("lead.c").alias("xc"))
-            pairs = current.join(led, "token").filter("c <> xc")
-        else:
-            open_ = written(current.join(spread.select("token"), "token"), f"{folder}/open")
-            other = spark.read.schema(open_.schema).parquet(f"{folder}/open")
-            other = other.select("token", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-            pairs = open_.join(other, "token").filter("c < xc")
-        pairs = pairs.filter((100 * F.least("n", "xn") >= percent * F.greatest("n", "xn")))
+        if turn == rounds:
+            open_ = current.join(spread.select("token", "members"), "token")
+            return links.unionByName(_open_links(spark, open_, posted, f"{folder}/confirm", sets.schema, folder, percent, match))
+        led = spread.select("token", F.col("lead.id").alias("x"), F.col("lead.n").alias("xn"), F.col("lead.c").alias("xc"))
+        pairs = current.join(led, "token").filter("c <> xc").filter(100 * F.least("n", "xn") >= percent * F.greatest("n", "xn"))
         pairs = pairs.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = written(pairs, f"{folder}/pairs-{turn}")
         confirmed = written(_confirmed(pairs, spark, f"{folder}/confirm", sets.schema, percent, match), f"{folder}/links-{turn}")
-        tried = pairs if tried is None else tried.unionByName(pairs)
         links = confirmed if links is None else links.unionByName(confirmed)
-        if turn < rounds:
-            labels = components(links, f"{folder}/components-{turn}")
-    return links
+        labels = components(links, f"{folder}/components-{turn}")
+
+
+def _open_links(spark: SparkSession, open_: DataFrame, posted: DataFrame, path: str, schema, folder: str, percent: int, match: int, block: int = 512) -> DataFrame:
+    """Links across components among the members (token, id, n, c, members) of open lists."""
+    lists = F.expr("bit_or(shiftleft(1L, cast(shiftright(token, 32) as int)))")
+    masks = posted.groupBy("id").agg(lists.alias("mask"))
+    signatures = spark.read.schema(schema).parquet(path).select("id", "signature")
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    own = F.pmod(F.xxhash64(F.lit("block"), "id"), blocks).cast("int")
+    rows = open_.join(masks, "id").join(signatures, "id").withColumn("own", own)
+    # a block meets each block of its list once
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cell = ["token", "low", "high"]
+    rows = rows.select("token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "n", "c", "mask", "signature")
+    rows = rows.repartition(*cell).sortWithinPartitions(*cell)
+    wanted = rows.mapInArrow(_by_cell(_meet(percent, match)), "token long, low int, high int, id long, c long, partners array<long>")
+    wanted = written(wanted, f"{folder}/wanted")
+    shingles = spark.read.schema(schema).parquet(path).select("id", "shingles")
+    rows = wanted.join(shingles, "id").select(*cell, "id", "c", "partners", "shingles").repartition(*cell).sortWithinPartitions(*cell)
+    return written(rows.mapInArrow(_by_cell(_join(percent)), "a long, b long"), f"{folder}/links-open")
 
 
 def _confirmed(pairs: DataFrame, spark: SparkSession, path: str, schema, percent: int, match: int) -> DataFrame:
@@ -129,6 +143,108 @@ def _confirmed(pairs: DataFrame, spark: SparkSession, path: str, schema, percent
     return both.select("a", "b", "a_shingles", "b_shingles").mapInArrow(_similar(percent), "a long, b long")
 
 
+def _by_cell(function):
+    """Applies ``function`` to the rows of each cell (first three columns) of sorted batches."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        waiting = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
+            starts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+            for first, last in zip(starts, starts[1:]):
+                if waiting and waiting[0][0] != keys[first]:
+                    yield from function(pa.Table.from_batches([w[1] for w in waiting]))
+                    waiting = []
+                waiting.append((keys[first], batch.slice(first, last - first)))
+        if waiting:
+            yield from function(pa.Table.from_batches([w[1] for w in waiting]))
+
+    return run
+
+
+def _meet(percent: int, match: int):
+    """The documents of a cell with partners at or above ``match`` in other components."""
+
+    def cell(table):
+        import numpy as np
+        import pyarrow as pa
+
+        token, low, high = (table.column(i)[0].as_py() for i in range(3))
+        own, ids, n, c = (table.column(i).to_numpy() for i in range(3, 7))
+        masks = table.column(7).to_numpy().view(np.uint64)
+        signatures = np.stack([np.frombuffer(s.as_py(), "<u4") for s in table.column(8)])
+        here, partners, met = np.uint64(1) << np.uint64(token >> 32), {}, set()
+        for i in range(len(ids) - 1):
+            rest = slice(i + 1, None)
+            able = (c[rest] != c[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+            if low != high:
+                able &= own[rest] != own[i]
+            at = np.flatnonzero(able) + i + 1
+            if not len(at):
+                continue
+            equal = signatures[at] == signatures[i]
+            enough = equal.sum(1) >= match
+            at, equal = at[enough], equal[enough]
+            if len(at):
+                packed = np.zeros((len(at), 8), np.uint8)
+                bits = np.packbits(equal, axis=1, bitorder="little")
+                packed[:, : bits.shape[1]] = bits
+                both = packed.view("<u8")[:, 0] & masks[at] & masks[i]
+                at = at[(both & (~both + np.uint64(1))) == here]  # this is the first list that they share
+            if len(at):
+                partners[i] = ids[at].tolist()
+                met |= {i, *at.tolist()}
+        rows = sorted(met)
+        if rows:
+            columns = [pa.array([v] * len(rows), kind) for v, kind in ((token, pa.int64()), (low, pa.int32()), (high, pa.int32()))]
+            columns += [pa.array(ids[rows]), pa.array(c[rows]), pa.array([partners.get(i, []) for i in rows], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "low", "high", "id", "c", "partners"])
+
+    return cell
+
+
+def _join(percent: int):
+    """Links of a cell; a pair whose components have been linked here already is skipped, as it changes nothing."""
+
+    def cell(table):
+        import numpy as np
+        import pyarrow as pa
+
+        ids, c = table.column(3).to_pylist(), table.column(4).to_pylist()
+        sets = dict(zip(ids, [np.frombuffer(s.as_py(), "<u8") for s in table.column(6)]))
+        of, top = dict(zip(ids, c)), {x: x for x in c}
+
+        def root(x):
+            while top[x] != x:
+                top[x] = top[top[x]]
+                x = top[x]
+            return x
+
+        links = []
+        for a, partners in zip(ids, table.column(5).to_pylist()):
+            for b in partners:
+                x, y = root(of[a]), root(of[b])
+                if x != y and _alike(sets[a], sets[b], percent):
+                    top[x] = y
+                    links.append((a, b))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return cell
+
+
+def _alike(a, b, percent: int) -> bool:
+    import numpy as np
+
+    both = np.sort(np.concatenate([a, b]))
+    met = int((both[1:] == both[:-1]).sum())
+    return 100 * met >= percent * (len(both) - met)
+
+
 def _shingles(text: str, words: int):
     """Distinct 64-bit hashes of the text's shingles, sorted."""
     import numpy as np
@@ -224,10 +340,7 @@ def _similar(percent: int):
         for batch in batches:
             keep = []
             for a, b in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(a.as_py(), "<u8"), np.frombuffer(b.as_py(), "<u8")
-                both = np.sort(np.concatenate([a, b]))
-                met = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * met >= percent * (len(both) - met))
+                keep.append(_alike(np.frombuffer(a.as_py(), "<u8"), np.frombuffer(b.as_py(), "<u8"), percent))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
 
