@@ -56,10 +56,10 @@ def boundary_edges(boundaries: DataFrame, geometry: str = "geometry") -> DataFra
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, wkb in enumerate(batch.column(geometry).to_pylist()):
-                if wkb is None:
+            for row, wkb in enumerate(batch.column(geometry)):  # one value at a time
+                if not wkb.is_valid:
                     continue
-                edges = _edges(bytes(wkb))
+                edges = _edges(wkb.as_py())
                 if len(edges):
                     same = pa.array(np.full(len(edges), row, dtype=np.int64))
                     columns = [batch.column(n).take(same) for n in names]
