@@ -59,7 +59,8 @@ class FragmentEncoder:
         } | {i: content.encode() for content, i in self.added.items()}
         self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.cuts = self._certain_cuts(t for i, t in self.token_bytes.items() if i not in self.added.values())
-        self._pack, self._keep, self._fragments, self._pieces = pack, keep, {}, {}
+        self._pack, self._keep, self._fragments = pack, keep, {}
+        self._pieces, self._after_blank = {}, {}  # by text; by what follows a blank
 
     @staticmethod
     def _certain_cuts(tokens) -> bytearray:
@@ -95,29 +96,28 @@ class FragmentEncoder:
                 self._fragments[fragment] = ids
         return ids
 
-    def _piece(self, piece: str):
-        """What is kept of ``piece``, encoded fragment by fragment."""
+    def _piece(self, piece: str, blank: str = ""):
+        """What is kept of ``blank + piece``, encoded fragment by fragment."""
         ids: list[int] = []
-        for fragment in self.fragments(piece) if piece else []:
+        for fragment in self.fragments(blank + piece):
             ids += self._fragment_ids(fragment)
         packed = self._pack(ids)
         if len(piece) < 64:
-            if len(self._pieces) >= self._keep:
-                self._pieces.clear()
-            self._pieces[piece] = packed
+            kept = self._after_blank if blank else self._pieces
+            if len(kept) >= self._keep:
+                kept.clear()
+            kept[piece] = packed
         return packed
 
     def _plain(self, text: str) -> list:
         if not text:
             return []
-        if not ("  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or _OTHER_SPACE.search(text)):
-            # Each blank stands between two other characters: a word begins there in any context.
-            first, *rest = text.split(" ")
-            pieces = [first, *[" " + x for x in rest]] if rest else [first]
-        else:
-            pieces = [text]
-        get = self._pieces.get
-        return [get(p) or self._piece(p) for p in pieces]
+        if "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or _OTHER_SPACE.search(text):
+            return [self._pieces.get(text) or self._piece(text)]
+        # Each blank stands between two other characters: a word begins there in any context.
+        first, *rest = text.split(" ")
+        get, new = self._after_blank.get, self._piece
+        return [self._pieces.get(first) or new(first), *[get(x) or new(x, " ") for x in rest]]
 
     def encode(self, text: str) -> list:
         """What is kept of the pieces of ``text``, in order."""

@@ -18,6 +18,7 @@ A keyed access costs one bucket lookup and one seek, whatever the store's size.
 from __future__ import annotations
 
 import io
+import struct
 import uuid
 import zlib
 
@@ -133,9 +134,9 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, shard_ids: int, shar
 
         def make():
             encoder = FragmentEncoder(tokenizer, lambda ids: None)
-            dtype = "<u2" if max([end_id, *encoder.token_bytes]) < 65536 else "<u4"
-            encoder._pack = lambda ids: np.array(ids, dtype).tobytes()
-            return encoder, np.dtype(dtype)
+            code = "H" if max([end_id, *encoder.token_bytes]) < 65536 else "I"
+            encoder._pack = lambda ids: struct.pack(f"<{len(ids)}{code}", *ids)
+            return encoder, np.dtype(f"<{code}")
 
         encoder, dtype = worker_store(f"store:{tokenizer}:{end_id}", make)
         part, end = TaskContext.get().partitionId(), np.array([end_id], dtype).tobytes()
