@@ -7,6 +7,9 @@
    million do), so they meet within the ``coordinates - match + 1`` rarest
    postings of each: only this prefix is kept, and a value that nobody else has
    is never posted. Documents of mostly own text drop out here.
+   Of the rest only documents stay that agree with some member of their lists on
+   ``match`` coordinates or more, counted in blocks on the low bytes of the
+   signatures (which can only add to the count).
 3. Rounds: in each list every member meets the list's leader only (each round
    another one). Collisions are counted on the signatures, pairs at or above
    ``match`` are confirmed on the full sets, links give components. Lists whose
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 from .components import components
 from .shared import only, shared_folder, written
 
+CELL = ["token", "low", "high"]
+
 
 def near_copies(
     docs: DataFrame,
@@ -46,7 +51,8 @@ def near_copies(
     without words (or null) has none and is linked with nothing. Two sets are
     linked if 100 * intersection >= ``percent`` * union. ``component_id`` is the
     smallest id reachable, ``kept`` whether it is the row's own. A null id is
-    the least id of all when classes are formed and comes back as null.
+    the least id of all when classes are formed and comes back as null. Repeated
+    rows are copies of each other; an id stands for one text.
     """
     if not match <= coordinates <= 64:
         raise ValueError("match <= coordinates <= 64")
@@ -86,10 +92,11 @@ def _links(spark: SparkSession, texts: DataFrame, reps: DataFrame, folder: str,
     lists = posted.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
     posted = written(posted.join(lists, "token"), f"{folder}/posted")
 
-    members = written(posted.select("id").distinct(), f"{folder}/members")
-    sets = texts.join(members, "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_sets(words), "id long, shingles binary")
-    sets = written(sets, f"{folder}/sets").join(reps, "id")
-    sets = written(sets, f"{folder}/confirm")
+    members = written(_plausible(posted, reps, percent, match), f"{folder}/members")
+    # members grow with the input: never broadcast
+    posted = written(posted.join(members.hint("merge"), "id", "left_semi"), f"{folder}/plausible")
+    sets = texts.join(members.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    sets = written(sets.mapInArrow(_sets(words), "id long, shingles binary").join(reps, "id"), f"{folder}/confirm")
 
     links = None
     labels = posted.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
@@ -110,23 +117,35 @@ def _links(spark: SparkSession, texts: DataFrame, reps: DataFrame, folder: str,
         labels = components(links, f"{folder}/components-{turn}")
 
 
-def _open_links(spark: SparkSession, open_: DataFrame, posted: DataFrame, path: str, schema, folder: str, percent: int, match: int, block: int = 512) -> DataFrame:
+def _cells(rows: DataFrame, block: int = 512) -> DataFrame:
+    """Rows (token, members, id, ...) with ``own, low, high``: each block of a list meets each block of it once."""
+    blocks = F.ceil(F.col("members") / block).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit("block"), "id"), blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+
+
+def _plausible(posted: DataFrame, reps: DataFrame, percent: int, match: int) -> DataFrame:
+    """``id`` of the posted documents with enough collisions with another member of a list."""
+    lists = posted.groupBy("token").agg(F.count("*").alias("members"))
+    bytes_ = reps.select("id", "signature").mapInArrow(_low_bytes, "id long, low_bytes binary")
+    rows = _cells(posted.join(lists, "token").join(bytes_, "id")).select(*CELL, "id", "n", "low_bytes")
+    rows = rows.repartition(*CELL).sortWithinPartitions(*CELL)
+    return rows.mapInArrow(_by_cell(_crowded(percent, match)), "id long").distinct()
+
+
+def _open_links(spark: SparkSession, open_: DataFrame, posted: DataFrame, path: str, schema, folder: str, percent: int, match: int) -> DataFrame:
     """Links across components among the members (token, id, n, c, members) of open lists."""
     lists = F.expr("bit_or(shiftleft(1L, cast(shiftright(token, 32) as int)))")
     masks = posted.groupBy("id").agg(lists.alias("mask"))
     signatures = spark.read.schema(schema).parquet(path).select("id", "signature")
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("block"), "id"), blocks).cast("int")
-    rows = open_.join(masks, "id").join(signatures, "id").withColumn("own", own)
-    # a block meets each block of its list once
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    cell = ["token", "low", "high"]
-    rows = rows.select("token", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "n", "c", "mask", "signature")
-    rows = rows.repartition(*cell).sortWithinPartitions(*cell)
+    rows = _cells(open_.join(masks, "id").join(signatures, "id"))
+    rows = rows.select(*CELL, "own", "id", "n", "c", "mask", "signature")
+    rows = rows.repartition(*CELL).sortWithinPartitions(*CELL)
     wanted = rows.mapInArrow(_by_cell(_meet(percent, match)), "token long, low int, high int, id long, c long, partners array<long>")
     wanted = written(wanted, f"{folder}/wanted")
     shingles = spark.read.schema(schema).parquet(path).select("id", "shingles")
-    rows = wanted.join(shingles, "id").select(*cell, "id", "c", "partners", "shingles").repartition(*cell).sortWithinPartitions(*cell)
+    rows = wanted.join(shingles, "id").select(*CELL, "id", "c", "partners", "shingles").repartition(*CELL).sortWithinPartitions(*CELL)
     return written(rows.mapInArrow(_by_cell(_join(percent)), "a long, b long"), f"{folder}/links-open")
 
 
@@ -166,6 +185,40 @@ def _by_cell(function):
     return run
 
 
+def _low_bytes(batches):
+    """The lowest byte of each value of a signature."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in batches:
+        low = [np.frombuffer(s.as_py(), "<u4").astype(np.uint8).tobytes() for s in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], ["id", "low_bytes"])
+
+
+def _crowded(percent: int, match: int):
+    """The documents of a cell that agree with another one on ``match`` bytes or more."""
+
+    def cell(table):
+        import numpy as np
+        import pyarrow as pa
+
+        ids, n = table.column(3).to_numpy(), table.column(4).to_numpy()
+        values = np.stack([np.frombuffer(s.as_py(), np.uint8) for s in table.column(5)])
+        met = np.zeros(len(ids), bool)
+        for i in range(len(ids) - 1):
+            rest = np.arange(i + 1, len(ids))
+            if met[i]:  # only those that have met nobody yet still have to be asked
+                rest = rest[~met[rest]]
+            rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
+            found = rest[(values[rest] == values[i]).sum(1) >= match]
+            if len(found):
+                met[found] = met[i] = True
+        if met.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[met])], ["id"])
+
+    return cell
+
+
 def _meet(percent: int, match: int):
     """The documents of a cell with partners at or above ``match`` in other components."""
 
