@@ -32,6 +32,9 @@ from .components import components
 from .shared import only, shared_folder, written
 
 CELL = ["token", "low", "high"]
+#: Stands for a null id.
+NO_ID = -(2**63)
+ROW_KEY = ["_id", "_h1", "_h2"]
 
 
 def near_copies(
@@ -51,26 +54,12 @@ def near_copies(
     without words (or null) has none and is linked with nothing. Two sets are
     linked if 100 * intersection >= ``percent`` * union. ``component_id`` is the
     smallest id reachable, ``kept`` whether it is the row's own. A null id is
-    the least id of all when classes are formed and comes back as null. Repeated
-    rows are copies of each other; an id stands for one text.
+    the least id of all and comes back as null. Repeated rows are copies of each
+    other; rows with one id (or none) and different texts are linked by their
+    texts only.
     """
-    if not match <= coordinates <= 64:
-        raise ValueError("match <= coordinates <= 64")
-    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession, "near")
-    texts = only(docs, id_column, text_column).toDF("id", "text")
-    texts = texts.withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(-(2**63))))
-    signed = written(texts.mapInArrow(_sign(words, coordinates), "id long, n long, s1 long, s2 long, signature binary"), f"{folder}/signed")
-    keys = ["n", "s1", "s2"]
-    classes = signed.filter("n > 0").groupBy(*keys).agg(F.min("id").alias("rep"))
-    # one row of each class; copies of a row with the class's least id differ in nothing
-    reps = signed.filter("n > 0").join(classes.select(*keys, "rep"), keys).filter("id = rep").dropDuplicates(["id", *keys])
-    reps = written(reps.select("id", "n", "signature"), f"{folder}/reps")
-
-    links = _links(spark, texts, reps, folder, words, percent, coordinates, match, rounds)
-    joined = components(links, f"{folder}/components")
-    rows = signed.join(classes, keys, "left").join(joined, F.col("rep") == F.col("node"), "left")
-    component = F.coalesce("component", "rep", "id")
-    null = F.lit(-(2**63))
+    rows = near_rows(docs, words, percent, coordinates, match, rounds, id_column, text_column)
+    component, null = F.coalesce("least.id", "id"), F.lit(NO_ID)
     return rows.select(
         F.when(F.col("id") != null, F.col("id")).alias(id_column),
         F.col("n").alias("n_shingles"),
@@ -79,8 +68,51 @@ def near_copies(
     )
 
 
-def _links(spark: SparkSession, texts: DataFrame, reps: DataFrame, folder: str, words: int, percent: int, coordinates: int, match: int, rounds: int) -> DataFrame:
-    """Links ``a, b`` between classes that connect every pair of linked classes."""
+def with_row_key(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with the key of each row: ``_id`` (a null one as ``NO_ID``) and two hashes of the text, ``_h1, _h2``."""
+    text = docs[text_column]
+    key = [F.coalesce(docs[id_column].cast("long"), F.lit(NO_ID)), F.xxhash64(text), F.xxhash64(F.lit(7), text)]
+    return docs.select("*", *[k.alias(name) for k, name in zip(key, ROW_KEY)])
+
+
+def near_rows(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    coordinates: int = 64,
+    match: int = 36,
+    rounds: int = 2,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """``id, h1, h2, n, least`` for every row: its key, the size of its set and the least key (id, h1, h2) reachable, null without words."""
+    if not match <= coordinates <= 64:
+        raise ValueError("match <= coordinates <= 64")
+    spark, folder = docs.sparkSession, shared_folder(docs.sparkSession, "near")
+    texts = with_row_key(only(docs, id_column, text_column).toDF("id", "text"), "id", "text").select(*[F.col(k).alias(k[1:]) for k in ROW_KEY], "text")
+    signed = written(texts.mapInArrow(_sign(words, coordinates), "id long, h1 long, h2 long, n long, s1 long, s2 long, signature binary"), f"{folder}/signed")
+    keys, row = ["n", "s1", "s2"], ["id", "h1", "h2"]
+    # equal sets have equal signatures; the number of a class is nobody's id
+    classes = signed.filter("n > 0").groupBy(*keys).agg(F.min(F.struct(*row)).alias("rep"), F.first("signature").alias("signature"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), f"{folder}/classes")
+    reps = classes.select(F.col("node").alias("id"), "n", "signature")
+    chosen = classes.select("node", "rep.*")
+
+    links = _links(spark, texts, chosen, reps, folder, words, percent, coordinates, match, rounds)
+    joined = components(links, f"{folder}/components")
+    linked = classes.select("node", "rep").join(joined, "node")
+    tops = written(linked.groupBy("component").agg(F.min("rep").alias("top")), f"{folder}/tops")
+    linked = written(joined.join(tops, "component").select("node", "top"), f"{folder}/linked")
+    named = classes.select("node", *keys, "rep").join(linked, "node", "left").select(*keys, F.coalesce("top", "rep").alias("least"))
+    named = written(named, f"{folder}/named")
+    return signed.select(*row, *keys).join(named, keys, "left").select(*row, "n", "least")
+
+
+def _links(spark: SparkSession, texts: DataFrame, chosen: DataFrame, reps: DataFrame, folder: str, words: int, percent: int, coordinates: int, match: int, rounds: int) -> DataFrame:
+    """Links ``a, b`` between classes that connect every pair of linked classes.
+
+    ``id`` is the number of a class here; ``chosen`` (node, id, h1, h2) names one row of each.
+    """
     tokens = reps.select("id", "n", "signature").mapInArrow(_tokens(coordinates), "id long, n long, token long")
     often = tokens.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1")
     shared = tokens.join(often, "token").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("found"))
@@ -95,7 +127,9 @@ def _links(spark: SparkSession, texts: DataFrame, reps: DataFrame, folder: str,
     members = written(_plausible(posted, reps, percent, match), f"{folder}/members")
     # members grow with the input: never broadcast
     posted = written(posted.join(members.hint("merge"), "id", "left_semi"), f"{folder}/plausible")
-    sets = texts.join(members.hint("merge"), "id", "left_semi").dropDuplicates(["id"])
+    chosen = chosen.join(members.hint("merge"), chosen.node == members.id, "left_semi")
+    # rows with one key have one text
+    sets = texts.join(chosen.hint("merge"), ["id", "h1", "h2"]).dropDuplicates(["id", "h1", "h2"]).select(F.col("node").alias("id"), "text")
     sets = written(sets.mapInArrow(_sets(words), "id long, shingles binary").join(reps, "id"), f"{folder}/confirm")
 
     links = None
@@ -327,7 +361,7 @@ def _sign(words: int, coordinates: int):
         adds = draw.integers(0, 2**63, coordinates, dtype=np.uint64)
         for batch in batches:
             rows = []
-            for text in batch.column(1):
+            for text in batch.column(3):
                 found = _shingles(text.as_py() or "", words)
                 least = np.full(coordinates, np.uint64(2**64 - 1))
                 for i in range(0, len(found), 4096):  # very long texts in pieces
@@ -338,7 +372,7 @@ def _sign(words: int, coordinates: int):
                 sums = [int(s.sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0 for s in (found, mixed ^ (mixed >> np.uint64(27)))]
                 rows.append((len(found), *sums, (least >> np.uint64(32)).astype("<u4").tobytes()))
             columns = [pa.array([r[i] for r in rows], pa.int64() if i < 3 else pa.binary()) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "s1", "s2", "signature"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["id", "h1", "h2", "n", "s1", "s2", "signature"])
 
     return run
 
