@@ -9,20 +9,12 @@ from pyspark.sql import functions as F
 
 from orderlake.llm.bpe import encode_digests
 from orderlake.llm.line_dedup import drop_common_lines
-from orderlake.llm.near_dedup import near_copies
+from orderlake.llm.near_dedup import ROW_KEY, near_rows, with_row_key
 from orderlake.llm.positional_index import PositionalIndex
 from orderlake.llm.quality import fit_quality, score_quality
 from orderlake.llm.queries import table, vocabulary
 from orderlake.llm.shared import shared_folder, written
 
-#: Stands for a null id in joins.
-NO_ID = -(2**63)
-
-
-def _id(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least 0.5; learned from labels outside the held-out third."""
     labels = table(spark, sf_dir, "labels").filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
@@ -36,17 +28,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 80 %): that with the least id."""
-    kept = _id(near_copies(docs).filter("kept")).select("_id").distinct()
-    rows = _id(docs).withColumn("_text", F.xxhash64("text")).join(kept, "_id", "left_semi")
-    return rows.dropDuplicates(["_id", "_text"]).select(*docs.columns)
+    """One document of each group of near copies (five words, 80 %): that with the least id.
+
+    A document is an id with its text: null and repeated ids are told apart by
+    the texts' hashes, which also decide between equal ids. A null id is the
+    least of all; documents without words all stay; equal rows count once.
+    """
+    rows = near_rows(docs)
+    own = (F.col("id") == F.col("least.id")) & (F.col("h1") == F.col("least.h1")) & (F.col("h2") == F.col("least.h2"))
+    kept = rows.filter(F.col("least").isNull() | own).select(*[F.col(k[1:]).alias(k) for k in ROW_KEY]).distinct()
+    return with_row_key(docs).join(kept, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth lies in passages of the benchmark."""
-    found = PositionalIndex(docs, table(spark, sf_dir, "benchmark")).contamination()
-    hit = _id(found.filter("contaminated")).select("_id").distinct()
-    return _id(docs).join(hit, "_id", "left_anti").select(*docs.columns)
+    """Documents of which less than a twentieth lies in passages of the benchmark.
+
+    Each row is judged by its own text, also under a null or repeated id.
+    """
+    keyed = with_row_key(docs)
+    found = PositionalIndex(keyed.select(F.struct(*ROW_KEY).alias("_key"), "text"), table(spark, sf_dir, "benchmark"), "_key").contamination()
+    hit = found.filter("contaminated").select("_key.*").distinct()
+    return keyed.join(hit, ROW_KEY, "left_anti").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

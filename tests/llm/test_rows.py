@@ -22,3 +22,19 @@ def test_near_copies_without_id(spark):
     got = near_copies(spark.createDataFrame(rows, DOCS), words=2).collect()
     of = {r.doc_id: r.component_id for r in got if r.doc_id is not None}
     assert of == {1: None, 2: None, 3: None, 7: 7, 8: 7, 9: 9} and len(got) == len(rows)
+
+
+def test_stages_keep_rows_without_id_apart(spark, tmp_path):
+    passage = "some benchmark text that is nowhere else at all"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    hit = f"x {passage} y"
+    rows = [(None, hit), (None, "clean one"), (None, "clean two"), (4, hit), (4, "clean three"), (5, "clean four"), (None, None), (6, hit)]
+    left = corpus_pipeline.decontaminate(spark, spark.createDataFrame(rows, DOCS), str(tmp_path)).collect()
+    assert sorted(map(str, left)) == sorted(str(r) for r in spark.createDataFrame([r for r in rows if r[1] != hit], DOCS).collect())
+
+    near = lambda name: [" ".join(words(name)), " ".join(words(name)[:-1] + ["end"])]
+    rows = [(None, t) for t in near("a") + near("b")] + [(4, t) for t in near("c") + ["other words here"]] + [(5, near("c")[0]), (5, "alone"), (5, "alone"), (None, None), (None, "")]
+    left = [tuple(r) for r in corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS), str(tmp_path)).collect()]
+    for name, i in (("a", None), ("b", None), ("c", 4)):
+        assert sum((i, t) in left for t in near(name)) == 1
+    assert len(left) == 7 and {(4, "other words here"), (5, "alone"), (None, None), (None, "")} <= set(left)
