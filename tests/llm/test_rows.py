@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from orderlake.llm.html_text import main_lines, page_lines
 from orderlake.llm.near_dedup import near_copies
 
 DOCS = "doc_id long, text string"
@@ -38,3 +39,15 @@ def test_stages_keep_rows_without_id_apart(spark, tmp_path):
     for name, i in (("a", None), ("b", None), ("c", 4)):
         assert sum((i, t) in left for t in near(name)) == 1
     assert len(left) == 7 and {(4, "other words here"), (5, "alone"), (None, None), (None, "")} <= set(left)
+
+
+def text_of(page):
+    return main_lines(page_lines(page))[0]
+
+
+def test_words_in_classes_of_pages():
+    body = '<h2 id="related-work">Related work</h2><section id="share-prices"><p class="notice-period">Notice period</p></section><h3 id="comments">Comments</h3>'
+    want = ["Story", "Related work", "Notice period", "Comments"]
+    for around in ('div class="content has-sidebar"', 'div id="page" class="site no-banner"', 'div class="sidebar"', 'form id="all"'):
+        assert text_of(f"<body><{around}><div class='ad'>Buy</div><article><p>Story</p>{body}<div class='share'>Share</div></article></{around.split()[0]}></body>") == want
+    assert text_of('<div class="social newsletter">Follow us</div><p>Story</p><div id="comments">nice</div>') == ["Story"]
