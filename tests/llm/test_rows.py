@@ -51,3 +51,12 @@ def test_words_in_classes_of_pages():
     for around in ('div class="content has-sidebar"', 'div id="page" class="site no-banner"', 'div class="sidebar"', 'form id="all"'):
         assert text_of(f"<body><{around}><div class='ad'>Buy</div><article><p>Story</p>{body}<div class='share'>Share</div></article></{around.split()[0]}></body>") == want
     assert text_of('<div class="social newsletter">Follow us</div><p>Story</p><div id="comments">nice</div>') == ["Story"]
+
+
+def test_articles_beside_the_story():
+    story, teasers = "<p>" + "Story goes on. " * 20 + "</p>", "<article>Teaser one</article><article>Teaser two</article>"
+    want = ("Story goes on. " * 20).strip()
+    assert main_lines(page_lines(f"<body><div>{story}</div>{teasers}</body>")) == ([want, "Teaser one", "Teaser two"], True)
+    assert main_lines(page_lines(f"<body><div>{story}</div><aside><article>Teaser</article></aside></body>")) == ([want], True)
+    assert main_lines(page_lines(f"<body><div>Menu</div><main>{story}{teasers}</main></body>")) == ([want, "Teaser one", "Teaser two"], False)
+    assert main_lines(page_lines(f"<body><div>Menu</div><article>{story}</article></body>")) == ([want], False)
