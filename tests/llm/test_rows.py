@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orderlake.llm.html_text import main_lines, page_lines
+from orderlake.llm.html_text import main_lines, main_text, page_lines
 from orderlake.llm.near_dedup import near_copies
 
 DOCS = "doc_id long, text string"
@@ -60,3 +60,33 @@ def test_articles_beside_the_story():
     assert main_lines(page_lines(f"<body><div>{story}</div><aside><article>Teaser</article></aside></body>")) == ([want], True)
     assert main_lines(page_lines(f"<body><div>Menu</div><main>{story}{teasers}</main></body>")) == ([want, "Teaser one", "Teaser two"], False)
     assert main_lines(page_lines(f"<body><div>Menu</div><article>{story}</article></body>")) == ([want], False)
+
+
+def plain_page(story, date=""):
+    return f"<body><div>Menu line</div><p>{story} begins</p><p>{story} goes on and on</p><p>{story} ends</p>{date and f'<p>Read {date} times</p>'}<div>Legal line</div></body>"
+
+
+def story_lines(story, date=""):
+    return [f"{story} begins", f"{story} goes on and on", f"{story} ends", *([f"Read {date} times"] if date else [])]
+
+
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_near_copies_of_pages(spark, partitions):
+    """Stories under several URLs, and equal pages side by side or on another host, in one range and in many."""
+    rows = [(0, "http://h/a/0", plain_page("First"))]
+    rows += [(i, f"http://h/b/{i:02}", plain_page("Second", i)) for i in range(1, 31)]
+    rows += [(40, "http://h/c/0", plain_page("Third")), (41, "http://other/0", plain_page("Second", 7))]
+    rows += [(i, f"http://k/b/{i}", plain_page("Fourth")) for i in range(50, 55)] + [(60, "http://k/z", plain_page("Fifth"))]
+    rows += [(i, f"http://m/{i}", plain_page("Alone", i)) for i in range(70, 73)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r.page_id: r.text.split("\n\n") for r in main_text(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    want = {0: story_lines("First"), 40: story_lines("Third"), 41: story_lines("Second", 7), 60: story_lines("Fifth")}
+    want |= {i: story_lines("Second", i) for i in range(1, 31)} | {i: story_lines("Fourth") for i in range(50, 55)}
+    # nothing but near copies on the host: nothing is lost
+    want |= {i: ["Menu line", *story_lines("Alone", i), "Legal line"] for i in range(70, 73)}
+    assert got == want
