@@ -8,8 +8,9 @@
    postings of each: only this prefix is kept, and a value that nobody else has
    is never posted. Documents of mostly own text drop out here.
    Of the rest only documents stay that agree with some member of their lists on
-   ``match`` coordinates or more, counted in blocks on the low bytes of the
-   signatures (which can only add to the count).
+   ``match`` coordinates or more, counted on the low bytes of the signatures
+   (which can only add to the count): in long lists with two members first, then
+   in blocks for the documents that have met nobody so far.
 3. Rounds: in each list every member meets the list's leader only (each round
    another one). Collisions are counted on the signatures, pairs at or above
    ``match`` are confirmed on the full sets, links give components. Lists whose
@@ -124,7 +125,7 @@ def _links(spark: SparkSession, texts: DataFrame, chosen: DataFrame, reps: DataF
     lists = posted.groupBy("token").agg(F.count("*").alias("times")).filter("times > 1").select("token")
     posted = written(posted.join(lists, "token"), f"{folder}/posted")
 
-    members = written(_plausible(posted, reps, percent, match), f"{folder}/members")
+    members = written(_plausible(posted, reps, folder, percent, match), f"{folder}/members")
     # members grow with the input: never broadcast
     posted = written(posted.join(members.hint("merge"), "id", "left_semi"), f"{folder}/plausible")
     chosen = chosen.join(members.hint("merge"), chosen.node == members.id, "left_semi")
@@ -159,13 +160,43 @@ def _cells(rows: DataFrame, block: int = 512) -> DataFrame:
     return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
 
 
-def _plausible(posted: DataFrame, reps: DataFrame, percent: int, match: int) -> DataFrame:
-    """``id`` of the posted documents with enough collisions with another member of a list."""
-    lists = posted.groupBy("token").agg(F.count("*").alias("members"))
+def _plausible(posted: DataFrame, reps: DataFrame, folder: str, percent: int, match: int, block: int = 512) -> DataFrame:
+    """``id`` of the posted documents with enough collisions with another member of a list.
+
+    In a list longer than ``block`` all members first meet two of them. Those that
+    have met nobody then are asked against all members, in blocks.
+    """
     bytes_ = reps.select("id", "signature").mapInArrow(_low_bytes, "id long, low_bytes binary")
-    rows = _cells(posted.join(lists, "token").join(bytes_, "id")).select(*CELL, "id", "n", "low_bytes")
+    lists = written(posted.groupBy("token").agg(F.count("*").alias("members")), f"{folder}/lists")
+    long_ = posted.join(lists.filter(F.col("members") > block), "token")
+    order = F.struct(F.xxhash64(F.lit("lead"), "id"), F.col("id"), F.col("n"))
+    leads = long_.groupBy("token").agg(F.min(order).alias("x"), F.max(order).alias("y"))
+    leads = leads.select("token", F.explode(F.array("x", "y")).alias("lead")).select("token", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n"))
+    leads = written(leads.join(bytes_.toDF("lead", "lead_bytes"), "lead"), f"{folder}/leads")
+    pairs = long_.join(leads, "token").filter("id <> lead").join(bytes_, "id").select("id", "n", "low_bytes", "lead", "lead_n", "lead_bytes")
+    met = written(pairs.mapInArrow(_led(percent, match), "id long").distinct(), f"{folder}/led")
+
+    marked = posted.join(met.withColumn("met", F.lit(True)).hint("merge"), "id", "left").withColumn("met", F.coalesce("met", F.lit(False)))
+    unmet = marked.filter(~F.col("met")).groupBy("token").agg(F.count("*").alias("unmet"))
+    open_ = written(lists.join(unmet, "token"), f"{folder}/unmet")
+    rows = _asking(marked.join(open_, "token"), block).join(bytes_, "id").select(*CELL, "role", "id", "n", "met", "low_bytes")
     rows = rows.repartition(*CELL).sortWithinPartitions(*CELL)
-    return rows.mapInArrow(_by_cell(_crowded(percent, match)), "id long").distinct()
+    return met.unionByName(rows.mapInArrow(_by_cell(_crowded(percent, match)), "id long")).distinct()
+
+
+def _asking(rows: DataFrame, block: int) -> DataFrame:
+    """Rows (token, members, unmet, id, met, ...) with ``low, high, role``: each unmet member of a list meets each member of it.
+
+    A short list is one cell. In a longer one each block of unmet members (role 1)
+    has a cell with each block of all members (role 2).
+    """
+    at = lambda n: F.pmod(F.xxhash64(F.lit("block"), "id"), n).cast("int")
+    own = lambda low, high, role: F.struct(low.alias("low"), high.alias("high"), F.lit(role).alias("role"))
+    askers, all_ = (F.ceil(F.col(c) / block).cast("int") for c in ("unmet", "members"))
+    answers = F.transform(F.sequence(F.lit(0), askers - 1), lambda i: own(i, at(all_), 2))
+    asks = F.transform(F.sequence(F.lit(0), all_ - 1), lambda i: own(at(askers), i, 1))
+    cells = F.when(F.col("members") <= block, F.array(own(F.lit(0), F.lit(0), 0))).otherwise(F.when(F.col("met"), answers).otherwise(F.concat(answers, asks)))
+    return rows.select("*", F.explode(cells).alias("cell")).select("*", "cell.*").drop("cell")
 
 
 def _open_links(spark: SparkSession, open_: DataFrame, posted: DataFrame, path: str, schema, folder: str, percent: int, match: int) -> DataFrame:
@@ -229,26 +260,49 @@ def _low_bytes(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low, pa.binary())], ["id", "low_bytes"])
 
 
+def _led(percent: int, match: int):
+    """The ids on both sides of the rows that agree on ``match`` bytes or more."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows:
+                own, lead = [np.stack([np.frombuffer(x.as_py(), np.uint8) for x in batch.column(i)]) for i in (2, 5)]
+                n, lead_n = (batch.column(i).to_numpy() for i in (1, 4))
+                keep = ((own == lead).sum(1) >= match) & (100 * np.minimum(n, lead_n) >= percent * np.maximum(n, lead_n))
+                ids = np.unique(np.concatenate([batch.column(i).to_numpy()[keep] for i in (0, 3)]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids)], ["id"])
+
+    return run
+
+
 def _crowded(percent: int, match: int):
-    """The documents of a cell that agree with another one on ``match`` bytes or more."""
+    """The documents of a cell that agree with another one on ``match`` bytes or more and had met nobody."""
 
     def cell(table):
         import numpy as np
         import pyarrow as pa
 
-        ids, n = table.column(3).to_numpy(), table.column(4).to_numpy()
-        values = np.stack([np.frombuffer(s.as_py(), np.uint8) for s in table.column(5)])
-        met = np.zeros(len(ids), bool)
-        for i in range(len(ids) - 1):
-            rest = np.arange(i + 1, len(ids))
+        role, ids, n = (table.column(i).to_numpy() for i in (3, 4, 5))
+        given = table.column(6).to_numpy()
+        if role.any():
+            given = given | (role == 2)  # these are asked about themselves elsewhere
+        if given.all():
+            return
+        values = np.stack([np.frombuffer(s.as_py(), np.uint8) for s in table.column(7)])
+        met = given.copy()
+        for i in np.flatnonzero(role == 1) if role.any() else range(len(ids) - 1):
+            rest = np.flatnonzero((role == 2) & (ids != ids[i])) if role[i] else np.arange(i + 1, len(ids))
             if met[i]:  # only those that have met nobody yet still have to be asked
                 rest = rest[~met[rest]]
             rest = rest[100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i])]
             found = rest[(values[rest] == values[i]).sum(1) >= match]
             if len(found):
                 met[found] = met[i] = True
-        if met.any():
-            yield pa.RecordBatch.from_arrays([pa.array(ids[met])], ["id"])
+        if (met & ~given).any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[met & ~given])], ["id"])
 
     return cell
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import orderlake.llm.near_dedup as near_dedup
 from orderlake.llm.html_text import main_lines, main_text, page_lines
 from orderlake.llm.near_dedup import near_copies
 
@@ -90,3 +91,34 @@ def test_near_copies_of_pages(spark, partitions):
     # nothing but near copies on the host: nothing is lost
     want |= {i: ["Menu line", *story_lines("Alone", i), "Legal line"] for i in range(70, 73)}
     assert got == want
+
+
+def test_large_group_of_near_copies_costs_rows_per_member(spark, monkeypatch):
+    """1,500 distinct near copies and a pair that shares words with them: no row for each member and block."""
+    base = words("base", 60)
+    rows = [(i, " ".join([*base[: i % 60], f"own{i}", *base[i % 60 + 1 :]])) for i in range(1500)]
+    rows += [(2000, " ".join(words("pair"))), (2001, " ".join([*words("pair")[:-1], "end"])), (2002, " ".join(words("alone")))]
+    made = []
+    for name in ("_cells", "_asking"):
+        if hasattr(near_dedup, name):
+
+            def counted(*args, was=getattr(near_dedup, name), **more):
+                cells = was(*args, **more)
+                made.append((args[0].count(), cells.count()))
+                return cells
+
+            monkeypatch.setattr(near_dedup, name, counted)
+    got = {r.doc_id: r.component_id for r in near_copies(spark.createDataFrame(rows, DOCS), words=2).collect()}
+    assert got == {**dict.fromkeys(range(1500), 0), 2000: 2000, 2001: 2000, 2002: 2002}
+    assert made and all(cells <= 1.5 * before for before, cells in made)
+
+
+def test_blocks_of_long_lists_find_all(spark, monkeypatch):
+    """With blocks of two members every list is a long one: the same groups as in one block."""
+    rows = [(10 * g + i, " ".join([f"common{j}" for j in range(45)] + [f"g{g}_{j}" for j in range(15)] + [f"own{g}_{i}"])) for g in range(6) for i in range(3)]
+    docs = spark.createDataFrame(rows, DOCS)
+    want = sorted(map(tuple, near_copies(docs, words=2).collect()))
+    was = near_dedup._plausible
+    monkeypatch.setattr(near_dedup, "_plausible", lambda *args: was(*args, block=2))
+    assert sorted(map(tuple, near_copies(docs, words=2).collect())) == want
+    assert {r[0]: r[2] for r in want} == {i: i // 10 * 10 for i, _ in rows}
