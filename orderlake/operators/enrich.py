@@ -11,13 +11,6 @@ from pyspark.sql import types as T
 # Measured payload up to which a lookup table is sent to every executor.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
-# Bytes in memory for one byte of a compressed file, on the safe side.
-UNPACKED = 16
-
-
-def _planned_bytes(df: DataFrame) -> int:
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
 
 def payload_bytes(df: DataFrame) -> int:
     """Size of the rows of ``df``: one aggregation, nothing but the sum returns."""
@@ -56,18 +49,14 @@ def lookup_join(
 ) -> DataFrame:
     """Left equi-join of a big table with a lookup table.
 
-    Where the plan's own statistics are far below ``broadcast_bytes``, no job is
-    needed to know that the lookup table is small; else it is measured first. Up
-    to the limit it is broadcast and the facts are not moved. A bigger one is joined by a shuffle
+    The lookup table is measured first, as plan statistics are no bound of the
+    rows: a column of few values unpacks to any multiple of its file. Up to the
+    limit it is broadcast and the facts are not moved. A bigger one is joined by a shuffle
     on the keys; a key that holds a large share of the facts is then split by
     size at run time (``spark.sql.adaptive.skewJoin``, on by default), which
     scales with the data where a fixed number of salts does not.
     """
-    size = measured_bytes
-    if size is None:
-        # of files, compressed: rows may take several times that
-        planned = _planned_bytes(table) * UNPACKED
-        size = planned if planned <= broadcast_bytes else payload_bytes(table)
+    size = payload_bytes(table) if measured_bytes is None else measured_bytes
     if size <= broadcast_bytes:
         table = F.broadcast(table)
     else:

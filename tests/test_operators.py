@@ -152,6 +152,14 @@ def test_enrich_fans_out_and_keeps_unmatched(spark):
         assert ("BroadcastHashJoin" in plan_of(out)) == (limit > 0)
 
 
+def test_repetitive_lookup_table_is_measured(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id AS customer_id", "repeat('same name ', 20) AS name")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/names")
+    orders = spark.createDataFrame([(1, 1)], "order_id int, customer_id int")
+    out = enrich_name(orders, spark.read.parquet(f"{tmp_path}/names"), "customer_id", "customer_name", broadcast_bytes=3_000_000)
+    assert "BroadcastHashJoin" not in plan_of(out) and out.count() == 1
+
+
 def test_payload_grows_with_text(spark):
     short = spark.createDataFrame([(1, "a")] * 10, "k int, name string")
     long = spark.createDataFrame([(1, "a" * 1000)] * 10, "k int, name string")
