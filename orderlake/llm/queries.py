@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_digests
+from .divergence import SourceAudit
 from .html_text import main_text
+from .lexical import LexicalIndex
 from .line_dedup import drop_common_lines
 from .near_dedup import near_copies
 from .positional_index import PositionalIndex
 from .quality import fit_quality, score_quality
+from .secret_scan import find_secrets, secret_digests
 from .shared import shared_folder
 from .sharding import range_shards
 from .token_store import TokenStore
@@ -93,6 +96,24 @@ def op10_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of known shapes and stretches of high entropy in every whole text."""
+    return secret_digests(find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    folder = shared_folder(spark, "lexical")
+    index = LexicalIndex.write(table(spark, sf_dir, "documents"), f"{folder}/index")
+    found = index.search(table(spark, sf_dir, "benchmark"), f"{folder}/search")
+    return found.select(F.col("item").alias("item_id"), "rank", "doc_id", "score")
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, and the terms that each one overuses."""
+    return SourceAudit(table(spark, sf_dir, "documents")).report()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_page_differencing": op2_page_differencing,
@@ -104,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_forced_boundary_bpe": op8_forced_boundary_bpe,
     "op9_histogram_shards": op9_histogram_shards,
     "op10_kd_top_k": op10_kd_top_k,
+    "op11_entropy_secrets": op11_entropy_secrets,
+    "op12_block_max_search": op12_block_max_search,
+    "op13_source_audit": op13_source_audit,
 }
 
 LINES_SQL = r"""
@@ -212,4 +236,131 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5"""
 
-ORACLES: dict[str, str] = {"op3_signature_join": NEAR_SQL, "op4_line_runs": LINES_SQL, "op5_positional_index": PHRASES_SQL, "op6_warc_merge": WARC_SQL, "op10_kd_top_k": TOP_K_SQL}
+SECRETS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), shapes(kind, place, pattern, tail, least) AS (VALUES  -- tail: what the length is asked of
+  ('assign', 1, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+', '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 8),
+  ('access', 2, 'AKIA[A-Z0-9]+', '^(.*)$', 16),
+  ('hex', 3, '[0-9a-f]{32,}', '^(.*)$', 32)
+), matched AS (  -- pieces between the matches give the places
+  SELECT row, kind, place, least, tail, text, regexp_extract_all(text, pattern) AS m, string_split_regex(text, pattern) AS p
+  FROM docs, shapes WHERE regexp_matches(text, pattern)
+), placed AS (
+  SELECT row, kind, place, least, tail, text, unnest(m) AS found, unnest(range(1, len(m) + 1)) AS i, list_transform(m, lambda x: length(x)) AS ml, list_transform(p, lambda x: length(x)) AS pl FROM matched
+), base AS (
+  SELECT row, kind, place, CAST(list_sum(pl[1:i]) + coalesce(list_sum(ml[1:i - 1]), 0) AS BIGINT) AS a, a + length(found) AS b
+  FROM placed WHERE length(regexp_extract(found, tail, 1)) >= least
+), classes(kind, place, pattern, size, bits) AS (VALUES
+  ('hex_entropy', 4, '[0-9A-Fa-f]{24,}', 24, 3.2), ('base64_entropy', 5, '[A-Za-z0-9+/_=-]{24,}', 24, 4.0)
+), runs AS (
+  SELECT row, kind, place, size, bits, text, regexp_extract_all(text, pattern) AS m, string_split_regex(text, pattern) AS p
+  FROM docs, classes WHERE regexp_matches(text, pattern)
+), listed AS (
+  SELECT row, kind, place, size, bits, text, unnest(m) AS run, unnest(range(1, len(m) + 1)) AS i, list_transform(m, lambda x: length(x)) AS ml, list_transform(p, lambda x: length(x)) AS pl FROM runs
+), candidates AS (
+  SELECT row, kind, place, size, bits, text, run, CAST(list_sum(pl[1:i]) + coalesce(list_sum(ml[1:i - 1]), 0) AS BIGINT) AS origin
+  FROM listed
+), windows AS (
+  SELECT *, unnest(range(0, length(run) - size + 1)) AS s FROM candidates WHERE NOT regexp_matches(run, '^(?i:sha1|sha224|sha256|sha384|sha512|md5)[=_-]')
+), letters AS (
+  SELECT row, kind, place, size, bits, origin, s, unnest(string_split(run[s + 1:s + size], '')) AS letter FROM windows
+), counted AS (
+  SELECT row, kind, place, size, bits, origin, s, letter, count(*) AS c FROM letters GROUP BY ALL
+), hot AS (
+  SELECT row, kind, place, size, origin, s FROM counted GROUP BY row, kind, place, size, bits, origin, s
+  HAVING sum(CAST(round(c * log2(c) * 1000000) AS BIGINT)) <= floor(size * (log2(size) - bits) * 1000000)
+), islands AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY row, kind, origin ORDER BY s) AS island
+  FROM (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY row, kind, origin ORDER BY s) + size THEN 0 ELSE 1 END AS fresh FROM hot)
+), spans AS (
+  SELECT row, kind, place, origin, origin + min(s) AS a, origin + max(s) + any_value(size) AS b FROM islands GROUP BY row, kind, place, origin, island
+), judged AS (
+  SELECT row, kind, place, a, b, text[a + 1:b] AS found, text[greatest(origin - 200, 0) + 1:origin] AS before FROM spans JOIN docs USING (row)
+), added AS (
+  SELECT * FROM judged j WHERE NOT regexp_full_match(found, '[0-9+/_=-]+') AND NOT regexp_full_match(found, '[A-Za-z]+([+/_=-]+[A-Za-z]+)+')
+    AND NOT regexp_full_match(found, '[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}')
+    AND NOT regexp_matches(found, '(?i:example|sample|dummy|placeholder|changeme|xxxxxx|your_|abcdefghij|0123456789)')
+    AND NOT regexp_matches(before, '://[^ \t\r\n]*$') AND NOT regexp_matches(before, '(?i:sha1|sha224|sha256|sha384|sha512|md5)[ ]?[:=-][ ]?$') AND NOT regexp_matches(before, ';base64,$')
+    AND NOT EXISTS (FROM base WHERE base.row = j.row AND base.a <= j.a AND j.b <= base.b)
+), every AS (
+  SELECT row, kind, place, a, b FROM base UNION ALL SELECT row, kind, place, a, b FROM added
+), told AS (
+  SELECT row, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) FILTER (WHERE place <= 3) AS base, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) AS spans
+  FROM every GROUP BY row
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN told USING (row)"""
+
+RANKED_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS kind, row_number() OVER () AS row, doc_id AS id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', row_number() OVER (), item_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') FROM benchmark
+), terms AS (
+  SELECT kind, row, translate(unnest(w), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM words
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM words WHERE kind = 'd' AND len(w) > 0
+), asked AS (
+  SELECT row AS item, term, count(*) AS times FROM terms WHERE kind = 'i' GROUP BY ALL
+), found AS (
+  SELECT row AS doc, term, count(*) AS tf FROM terms WHERE kind = 'd' AND term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM found, corpus GROUP BY term, docs
+), masses AS (
+  SELECT row AS doc, id AS doc_id, 100 - 25 + ((25 * len(w) * docs) // total) AS m FROM words, corpus WHERE kind = 'd' AND len(w) > 0
+), scored AS (
+  SELECT item, doc, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN found USING (term) JOIN weights USING (term) JOIN masses USING (doc) GROUP BY item, doc
+), ranked AS (
+  SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored JOIN masses USING (doc) WHERE score > 0
+)
+SELECT id AS item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN words ON kind = 'i' AND row = item WHERE rank <= 20"""
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), terms AS (
+  SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM terms JOIN kept USING (lang, term) GROUP BY ALL
+), sources AS (
+  SELECT DISTINCT lang, source FROM docs
+), filled AS (
+  SELECT s.lang, s.source, k.term, coalesce(c, 0) AS c, v, sum(coalesce(c, 0)) OVER (PARTITION BY s.lang, s.source) AS n
+  FROM sources s JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN counts USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v) AS p FROM filled
+), usual AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 5)) // (n + 5 * v) AS q
+  FROM (SELECT lang, term, sum(c) AS c, any_value(v) AS v, sum(sum(c)) OVER (PARTITION BY lang) AS n FROM filled GROUP BY lang, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(any_value(d), 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS d FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) s
+    ON s.lang = a.lang AND s.source = a.source AND s.item = b.source GROUP BY ALL
+), over_used AS (
+  SELECT lang, source, term AS item, p - q AS value FROM shares JOIN usual USING (lang, term) WHERE c > 0 AND p > q
+), parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM over_used
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 50"""
+
+ORACLES: dict[str, str] = {
+    "op3_signature_join": NEAR_SQL,
+    "op4_line_runs": LINES_SQL,
+    "op5_positional_index": PHRASES_SQL,
+    "op6_warc_merge": WARC_SQL,
+    "op10_kd_top_k": TOP_K_SQL,
+    "op11_entropy_secrets": SECRETS_SQL,
+    "op12_block_max_search": RANKED_SQL,
+    "op13_source_audit": DIVERGENCE_SQL,
+}
