@@ -78,6 +78,10 @@ SELECT src.order_id, latitude, longitude, neighborhood, comune
 FROM src LEFT JOIN hits ON src.order_id = hits.order_id AND place = 1"""
 
 
+# The height of a column of the stairs; a point between two columns is under both.
+_STAIR = "(CAST({k} AS BIGINT) * 37 % 512 + 256) / 1024.0::DOUBLE"
+
+
 ORACLES: dict[str, str] = {
     "ingest_partitions": """
 SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
@@ -161,6 +165,12 @@ FROM src LEFT JOIN staff ON employee_id = s_suppkey""",
     "area_multipolygons": _area_query(
         f"{_IN_SQUARE} AND (longitude < x + 0.375 OR longitude > x + 0.625)"
     ),
+    "area_many_vertices": _area_query(
+        f"""{_IN_SQUARE} AND latitude - y <
+        CASE WHEN (longitude - x) * 1024 = floor((longitude - x) * 1024)
+             THEN least({_STAIR.format(k="floor((longitude - x) * 1024)")}, {_STAIR.format(k="floor((longitude - x) * 1024) - 1")})
+             ELSE {_STAIR.format(k="floor((longitude - x) * 1024)")} END"""
+    ),
     "delivery_range_check": f"""
 {_WITH_TIMED},
 expected AS (
@@ -209,4 +219,5 @@ SELECT order_date, neighborhood, comune, working_day, order_count,
 FROM rolled WHERE neighborhood IS NULL OR hundredths >= 100000""",
 }
 ORACLES["enrich_by_shuffle"] = ORACLES["enrich_customer"]
+ORACLES["area_many_vertices_by_shuffle"] = ORACLES["area_many_vertices"]
 ORACLES["area_lookup_by_shuffle"] = ORACLES["area_lookup"]

@@ -267,6 +267,8 @@ QUERIES: dict[str, Query] = {
     "area_triangles": _areas_of(roles.triangle, ">"),
     "area_holes": _areas_of(roles.holed),
     "area_multipolygons": _areas_of(roles.two_strips, ">"),
+    "area_many_vertices": _areas_of(roles.stairs),
+    "area_many_vertices_by_shuffle": _areas_of(roles.stairs, broadcast_bytes=0),
     "delivery_range_check": range_check,
     "incremental_slice": new_rows,
     "progress_mark": mark,

@@ -114,6 +114,15 @@ def two_strips(x: float, y: float) -> list[list[Ring]]:
     return [[box(x, y, x + 0.375, y + 1)], [box(x + 0.625, y, x + 1, y + 1)]]
 
 
+def stairs(x: float, y: float, steps: int = 1024) -> list[list[Ring]]:
+    """Some two thousand vertices: columns of a width and of heights that doubles hold exactly."""
+    top = [y + (k * 37 % 512 + 256) / 1024 for k in range(steps)]
+    ring = [(x, y), (x + 1, y)]
+    for k in reversed(range(steps)):
+        ring += [(x + (k + 1) / steps, top[k]), (x + k / steps, top[k])]
+    return [[[*ring, (x, y)]]]
+
+
 def areas(
     spark: SparkSession,
     sf_dir: str,

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import struct
 
@@ -148,7 +149,7 @@ def test_crowd_in_one_cell_is_split(spark):
     for o in range(20):
         ring = box(2100 + o / 8, 1.0, 2100 + (o + 1) / 8, 1.125)
         shapes[o] = ([ring], polygon([ring]))
-    plain = build_cells(boundaries(spark, shapes), 40.0)
+    plain = build_cells(boundaries(spark, shapes), 40.0, cell_edges=256)
     index = build_cells(boundaries(spark, shapes), 40.0, cell_edges=16)
     assert plain.levels == 1 and index.levels > 2
     worst = lambda i: i.cells.selectExpr("max(aggregate(areas, 0, (n, a) -> n + size(a.edges))) n").first()["n"]
@@ -161,12 +162,62 @@ def test_crowd_in_one_cell_is_split(spark):
     assert got == looked_up(spark, plain, points)
 
 
-def test_split_stops_at_the_cell_budget(spark, monkeypatch):
-    monkeypatch.setattr("orderlake.operators.spatial.LEVEL_CELLS", 0)
-    index = build_cells(boundaries(spark), 1.0, cell_edges=1)
-    assert index.levels == 1
-    points = [(x / 4, y / 4) for x, y in itertools.product(range(-14, 40, 3), range(-14, 33, 3))]
-    assert looked_up(spark, index, points) == {i: expected(SHAPES, *p) for i, p in enumerate(points)}
+def test_budget_goes_to_the_heaviest_cells(spark, monkeypatch):
+    """Two crowded cells; the budget pays for one of them, which is split as far as it needs."""
+    shapes = {}
+    for o in range(60):
+        ring = box(1 + o / 128, 1, 1 + (o + 1) / 128, 1.5) if o < 45 else box(41 + o / 128, 1, 41 + (o + 1) / 128, 1.5)
+        shapes[o] = ([ring], polygon([ring]))
+    points = [(k / 256, 1.25) for k in range(200, 420, 3)] + [(41 + k / 256, 1.25) for k in range(60, 130, 3)]
+    want = {i: expected(shapes, *p) for i, p in enumerate(points)}
+    for rows, split in ((0, set()), (900, {(0, 0)}), (10**6, {(0, 0), (4, 0)})):
+        monkeypatch.setattr("orderlake.operators.spatial.LEVEL_ROWS", rows)
+        monkeypatch.setattr("orderlake.operators.spatial.LEVEL_GROWTH", 0)
+        index = build_cells(boundaries(spark, shapes), 10.0, cell_edges=40)
+        assert {(r["cx"], r["cy"]) for r in index.cells.filter("areas is null and level = 0").collect()} == split
+        assert looked_up(spark, index, points) == want
+
+
+def star(n, r=1.0):
+    """A ring of n spikes from a hub, all edges near one point."""
+    ring = []
+    for i in range(n):
+        a, b = 2 * math.pi * i / n, 2 * math.pi * (i + 0.5) / n
+        ring += [(r * math.cos(a), r * math.sin(a)), (r / 64 * math.cos(b), r / 64 * math.sin(b))]
+    return [*ring, ring[0]]
+
+
+def test_many_edges_meet_at_one_place(spark):
+    ring = star(300)
+    index = build_cells(boundaries(spark, {1: ([ring], polygon([ring]))}), 1.0, cell_edges=16)
+    assert index.levels > 2
+    rng = random.Random(5)
+    points = [(rng.uniform(-1, 1) * s, rng.uniform(-1, 1) * s) for s in (1, 0.1, 0.02) for _ in range(150)]
+    got = looked_up(spark, index, points)
+    assert got == {i: 101 if interior([ring], *p) else None for i, p in enumerate(points)}
+
+
+def test_far_chains_leave_nothing_in_a_cell(spark):
+    """The right side has a thousand vertices; cells at the left side keep their own edges only."""
+    right = [(10 + (i % 2) / 8, i / 100) for i in range(1001)]
+    ring = [(0, 0), *right, (0, 10), (0, 0)]
+    index = build_cells(boundaries(spark, {1: ([ring], polygon([ring]))}), 1.0, cell_edges=10**6)
+    for r in index.cells.filter("cx = 0 and cy between 2 and 7").collect():
+        assert [len(a.edges) for a in r.areas] == [1] and [a.toggles for a in r.areas] == [[]]
+    points = [(x / 4 + 0.125, y / 7) for x, y in itertools.product(range(-2, 44), range(-1, 72, 5))]
+    assert looked_up(spark, index, points) == {i: expected({1: ([ring], None)}, *p) for i, p in enumerate(points)}
+
+
+def test_points_move_once_on_a_split_index(spark, tmp_path):
+    build_cells(boundaries(spark), 3.0, cell_edges=4).save(str(tmp_path / "cells"))
+    index = AreaIndex.load(spark, str(tmp_path / "cells"))
+    assert index.levels > 2 and index.split > 1
+    spark.range(1000).selectExpr("id / 100 latitude", "id / 90 longitude").write.parquet(str(tmp_path / "points"))
+    out = area_lookup(spark.read.parquet(str(tmp_path / "points")), index, broadcast_bytes=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == index.levels - 1 and plan.count("SortMergeJoin") == 1
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2 and all("_cell" in line for line in moved)  # the points, and the cells
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
