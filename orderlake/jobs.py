@@ -8,6 +8,7 @@ pipeline  all three layers once, for a scheduler to repeat
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 from collections.abc import Callable, Sequence
 from datetime import timedelta
@@ -19,6 +20,7 @@ from orderlake.plans.gold import run_gold
 from orderlake.plans.pipeline import Layout, run_pipeline
 from orderlake.plans.silver import run_silver
 from orderlake.sinks.jdbc import write_jdbc
+from orderlake.sinks.ledger import LedgerTable
 from orderlake.sinks.progress import DEFAULT_MARK
 from orderlake.sources.boundaries import read_boundaries
 from orderlake.sources.lines import stream_lines
@@ -62,6 +64,11 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         job.add_argument("--jdbc-url")
         job.add_argument("--jdbc-table", default="daily_sales")
         job.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+        job.add_argument(
+            "--connect",
+            metavar="MODULE:FUNCTION",
+            help="gives a DB-API connection to the same database: changed days only, each batch once (default: refill)",
+        )
     for job in (silver, gold, whole):
         job.add_argument("--default", default=DEFAULT_MARK, help="mark of a layer that never ran")
     return parser.parse_args(argv)
@@ -107,24 +114,40 @@ def _silver(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> di
     )
 
 
-def _publisher(layout: Layout, args: argparse.Namespace) -> Callable[[DataFrame, DataFrame], None]:
-    def publish(valid: DataFrame, rejected: DataFrame) -> None:
-        rejected.write.mode("overwrite").parquet(layout.path("gold_rejected"))
+def _publishers(layout: Layout, args: argparse.Namespace) -> dict[str, Callable]:
+    """How the rollup goes on: with a connection function changed days alone, else the whole table."""
+    rejects, options = layout.path("gold_rejected"), _pairs(args.jdbc_option)
+
+    def refill(valid: DataFrame, rejected: DataFrame) -> None:
+        rejected.write.mode("overwrite").parquet(rejects)
         if args.jdbc_url:
-            write_jdbc(valid, args.jdbc_url, args.jdbc_table, _pairs(args.jdbc_option))
+            write_jdbc(valid, args.jdbc_url, args.jdbc_table, options)
+
+    if not args.connect:
+        return {"publish": refill}
+    if not args.jdbc_url:
+        raise SystemExit("--connect needs --jdbc-url, by which the rows are staged")
+    module, _, function = args.connect.partition(":")
+    connect = getattr(importlib.import_module(module), function)
+    table = LedgerTable.by_jdbc(connect, args.jdbc_url, args.jdbc_table, options)
+
+    def batch(name: str, days: DataFrame, valid: DataFrame, rejected: DataFrame) -> None:
+        # a folder per batch: written again as a whole if the batch comes again
+        rejected.write.mode("overwrite").parquet(f"{rejects}/batch={name.replace(':', '-')}")
+        table.publish(name, days, valid)
 
-    return publish
+    return {"publish_batch": batch}
 
 
 def _gold(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
     tables = layout.silver, layout.partials, layout.gold, layout.gold_progress
-    return run_gold(spark, *tables, _publisher(layout, args), args.default)
+    return run_gold(spark, *tables, default=args.default, **_publishers(layout, args))
 
 
 def _pipeline(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
     lines = stream_lines(spark, args.source, **_pairs(args.option))
     people = _dimensions(spark, args)
-    return run_pipeline(spark, lines, layout, *people, _publisher(layout, args), args.default, _span(args))
+    return run_pipeline(spark, lines, layout, *people, default=args.default, span=_span(args), **_publishers(layout, args))
 
 
 _LAYERS = {"bronze": _bronze, "silver": _silver, "gold": _gold, "pipeline": _pipeline}

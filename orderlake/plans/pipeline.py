@@ -42,11 +42,14 @@ def run_pipeline(
     publish: Callable[[DataFrame, DataFrame], None] | None = None,
     default: datetime | str = DEFAULT_MARK,
     span: timedelta | None = None,
+    publish_days: Callable[[DataFrame, DataFrame, DataFrame], None] | None = None,
+    publish_batch: Callable[[str, DataFrame, DataFrame, DataFrame], object] | None = None,
 ) -> dict[str, dict[str, object]]:
     """Ingest what the stream holds now, then silver until it is done, then gold.
 
     Meant for a scheduler: call it at the wanted interval. Errors are raised,
-    and the next call goes on where this one stopped.
+    and the next call goes on where this one stopped. ``publish`` and the like:
+    see :func:`run_gold`.
     """
     query = run_bronze(lines, layout.bronze, layout.checkpoint, {"availableNow": True})
     query.awaitTermination()
@@ -67,6 +70,14 @@ def run_pipeline(
             break
         total = {"rows": (total["rows"] or 0) + done["rows"], "slices": total["slices"] + 1}
     gold = run_gold(
-        spark, layout.silver, layout.partials, layout.gold, layout.gold_progress, publish, default
+        spark,
+        layout.silver,
+        layout.partials,
+        layout.gold,
+        layout.gold_progress,
+        publish,
+        default,
+        publish_days,
+        publish_batch,
     )
     return {"silver": total, "gold": gold}

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from orderlake.plans.gold import read_gold
 from orderlake.plans.pipeline import Layout
 from tests.helpers import dimensions, order
 from tests.test_layers import gold, put, silver
@@ -17,7 +18,7 @@ def test_far_dates_pass_through(spark, tmp_path):
     put(spark, layout.bronze, [order(4, order_date="12345-01-01T00:00:00"), order(5)], "2024-03-01 11:00:00")
     silver(spark, layout, dims)
     done = gold(spark, layout)
-    table = spark.read.parquet(layout.gold)
+    table = read_gold(spark, layout.gold)
     total = table.agg(F.sum("order_count")).first()[0]
     assert total == spark.read.parquet(layout.silver).count()
     assert done["rows"] in (1, 2)
