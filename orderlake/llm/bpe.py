@@ -36,17 +36,15 @@ def _encoder(tokenizer: str, with_ids: bool, digests: bool):
             # what is kept stays in the worker while other stages run: some 200 MB
             encoder = FragmentEncoder(tokenizer, lambda ids: None, keep=300_000)
             of = encoder.token_bytes
-            encoder._pack = lambda ids: (len(ids), ",".join(map(str, ids)), b"".join([of[i] for i in ids]))
+            encoder._pack = lambda ids: ("".join([f"{i}," for i in ids]).encode(), b"".join([of[i] for i in ids]))
             return encoder
 
         encoder = worker_store(f"bpe:{tokenizer}", make)
         for batch in batches:
             rows = []
-            for text in batch.column(1):
-                packed = encoder.encode(text.as_py() or "")
-                ids = ",".join([p[1] for p in packed])
-                decoded = b"".join([p[2] for p in packed]).decode("utf-8", "replace")
-                rows.append((sum([p[0] for p in packed]), ids, decoded))
+            for packed in encoder.encode_all(text.as_py() or "" for text in batch.column(1)):
+                ids = b"".join([p[0] for p in packed])
+                rows.append((ids.count(b","), ids[:-1].decode(), b"".join([p[1] for p in packed]).decode("utf-8", "replace")))
             columns = [batch.column(0), pa.array([r[0] for r in rows], pa.int64())]
             names = [batch.schema.names[0], "n_tokens"]
             if digests:

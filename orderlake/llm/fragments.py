@@ -7,11 +7,13 @@ splits might come out differently on the two sides (within white space, before
 an apostrophe, beside characters beyond ASCII), no cut is made.
 
 Fragments repeat far more than texts do, so each worker keeps the ids of those
-it has met; new ones go through the tokenizers library.
+it has met; new ones go through the tokenizers library. Texts are taken in
+groups: the new words of a group are cut at once, in arrays.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 
@@ -20,6 +22,11 @@ import re
 _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def _is_odd(text: str) -> bool:
+    """Whether some blank of the text does not stand between two characters that are no white space."""
+    return "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text) is not None
+
+
 def byte_letters() -> list[str]:
     """The letter that byte-level vocabularies write for each byte."""
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -33,9 +40,11 @@ def byte_letters() -> list[str]:
 class FragmentEncoder:
     """Ids of texts as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    ``pack`` turns the ids of a fragment into what is kept of it. At most
-    ``keep`` fragments are kept; then the collection starts again, so that memory
-    stays bounded.
+    ``pack`` turns the ids of a piece into what is kept of it. Pieces and
+    fragments are kept in two generations: once the younger one has ``keep`` of
+    them it becomes the older one, and what is met again is taken over from there.
+    So memory is bounded, some 300 bytes for each of at most twice ``keep`` and
+    those of a group, and frequent words are never learned again.
     """
 
     def __init__(self, path: str, pack, keep: int = 700_000):
@@ -59,8 +68,10 @@ class FragmentEncoder:
         } | {i: content.encode() for content, i in self.added.items()}
         self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.cuts = self._certain_cuts(t for i, t in self.token_bytes.items() if i not in self.added.values())
-        self._pack, self._keep, self._fragments = pack, keep, {}
-        self._pieces, self._after_blank = {}, {}  # by text; by what follows a blank
+        self._pack, self._keep = pack, keep
+        self._letters = dict(enumerate(byte_letters()))
+        # young and old: of pieces, of what follows a blank, of fragments
+        self._kept: dict[str, tuple[dict, dict]] = {kind: ({}, {}) for kind in ("", " ", "fragment")}
 
     @staticmethod
     def _certain_cuts(tokens) -> bytearray:
@@ -86,47 +97,109 @@ class FragmentEncoder:
         out.append(data[at:].decode("utf-8"))
         return out
 
-    def _fragment_ids(self, fragment: str) -> list[int]:
-        ids = self._fragments.get(fragment)
-        if ids is None:
-            ids = [t.id for word, _ in self._pre.pre_tokenize_str(fragment) for t in self._model.tokenize(word)]
-            if len(fragment) < 64:
-                if len(self._fragments) >= self._keep:
-                    self._fragments.clear()
-                self._fragments[fragment] = ids
-        return ids
-
-    def _piece(self, piece: str, blank: str = ""):
-        """What is kept of ``blank + piece``, encoded fragment by fragment."""
-        ids: list[int] = []
-        for fragment in self.fragments(blank + piece):
-            ids += self._fragment_ids(fragment)
-        packed = self._pack(ids)
-        if len(piece) < 64:
-            kept = self._after_blank if blank else self._pieces
-            if len(kept) >= self._keep:
-                kept.clear()
-            kept[piece] = packed
-        return packed
-
-    def _plain(self, text: str) -> list:
-        if not text:
+    def _cut(self, pieces: list[bytes]):
+        """The fragments of all pieces, one after the other, and where those of each piece begin."""
+        import numpy as np
+
+        joined = b"".join(pieces)
+        data = np.frombuffer(joined, np.uint8)
+        ends = np.cumsum([len(p) for p in pieces])
+        bounds = np.zeros(len(data) + 1, bool)
+        bounds[1:-1] = np.frombuffer(self.cuts, np.uint8)[data[:-1].astype(np.int32) * 256 + data[1:]]
+        bounds[0] = bounds[ends] = True
+        places = np.flatnonzero(bounds)
+        cut = places.tolist()
+        return [joined[a:b] for a, b in zip(cut, cut[1:])], [0, *np.searchsorted(places, ends).tolist()]
+
+    def _fragment_ids(self, fragment: bytes) -> tuple[int, ...]:
+        text = fragment.decode("utf-8")
+        word = text[1:] if text[0] == " " else text
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one word to the pre-tokenizer
+            return tuple([t.id for t in self._model.tokenize(fragment.decode("latin-1").translate(self._letters))])
+        return tuple([t.id for part, _ in self._pre.pre_tokenize_str(text) for t in self._model.tokenize(part)])
+
+    def _found(self, kind: str, wanted: set, learn) -> dict:
+        """What is kept of all ``wanted``; ``learn`` gives it for a list of new ones. Long ones are not kept on."""
+        young, old = self._kept[kind]
+        out, new = {}, []
+        for x in wanted:
+            known = young.get(x) or old.get(x)
+            if known is None:
+                new.append(x)
+            else:
+                out[x] = young[x] = known
+        for x, y in zip(new, learn(new)):
+            out[x] = y
+            if len(x) < 64:
+                young[x] = y
+        return out
+
+    def _learn(self, pieces: list[str]) -> list:
+        if not pieces:
             return []
-        if "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or _OTHER_SPACE.search(text):
-            return [self._pieces.get(text) or self._piece(text)]
-        # Each blank stands between two other characters: a word begins there in any context.
-        first, *rest = text.split(" ")
-        get, new = self._after_blank.get, self._piece
-        return [self._pieces.get(first) or new(first), *[get(x) or new(x, " ") for x in rest]]
+        fragments, starts = self._cut([p.encode("utf-8") for p in pieces])
+        ids = self._found("fragment", set(fragments), lambda new: [self._fragment_ids(x) for x in new])
+        out = []
+        for a, b in zip(starts, starts[1:]):
+            out.append(self._pack(ids[fragments[a]] if b == a + 1 else [i for x in fragments[a:b] for i in ids[x]]))
+        return out
+
+    def _group(self, texts: list[str]) -> list[list]:
+        for kind, (young, _) in self._kept.items():
+            if len(young) >= self._keep:
+                self._kept[kind] = {}, young
+        out, pieces, words = [], set(), set()
+        gaps: list[tuple[list, int, bool, str]] = []  # what is to be filled in: by a piece, or by words after blanks
+        known, whole = self._kept[" "][0].get, self._kept[""][0].get
+        for text in texts:
+            kept: list = []
+            for part in [text] if self._added is None or not self._added.search(text) else self._added.split(text):
+                if part in self.added:
+                    kept.append(self._pack([self.added[part]]))
+                    continue
+                if not part:
+                    continue
+                # where each blank stands between two other characters, a word begins there in any context
+                first, *rest = [part] if _is_odd(part) else part.split(" ")
+                found = whole(first)
+                if found is None:
+                    pieces.add(first)
+                    gaps.append((kept, len(kept), True, first))
+                kept.append(found)
+                at = len(kept)
+                kept += map(known, rest)
+                if None in kept[at:]:
+                    new = [(i, x) for i, x in enumerate(rest, at) if kept[i] is None]
+                    words.update([x for _, x in new])
+                    gaps += [(kept, i, False, x) for i, x in new]
+            out.append(kept)
+        first_of = self._found("", pieces, self._learn)
+        after = self._found(" ", words, lambda new: self._learn([" " + x for x in new]))
+        for kept, i, first, x in gaps:
+            kept[i] = first_of[x] if first else after[x]
+        return out
 
     def encode(self, text: str) -> list:
         """What is kept of the pieces of ``text``, in order."""
-        if self._added is None or not self._added.search(text):
-            return self._plain(text)
-        out: list = []
-        for part in self._added.split(text):
-            if part in self.added:
-                out.append(self._pack([self.added[part]]))
-            else:
-                out += self._plain(part)
-        return out
+        return self._group([text])[0]
+
+    def encode_all(self, texts, group_chars: int = 8_000_000):
+        """As ``encode`` for each of ``texts``; new words of a group of them are learned together."""
+        group, chars = [], 0
+        for text in texts:
+            group.append(text)
+            chars += len(text)
+            if chars >= group_chars:
+                yield from self._uncollected(group)
+                group, chars = [], 0
+        yield from self._uncollected(group)
+
+    def _uncollected(self, texts: list[str]) -> list[list]:
+        """A group without garbage collection: it makes no cycles, and walking over all that is kept costs a third of the time."""
+        was_on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._group(texts)
+        finally:
+            if was_on:
+                gc.enable()
