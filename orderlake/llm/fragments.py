@@ -16,6 +16,7 @@ from __future__ import annotations
 import gc
 import json
 import re
+from array import array
 
 #: Characters of Unicode's White_Space beside the blank and the line feed: the
 #: pre-tokenizer treats a blank beside them otherwise.
@@ -111,12 +112,12 @@ class FragmentEncoder:
         cut = places.tolist()
         return [joined[a:b] for a, b in zip(cut, cut[1:])], [0, *np.searchsorted(places, ends).tolist()]
 
-    def _fragment_ids(self, fragment: bytes) -> tuple[int, ...]:
+    def _fragment_ids(self, fragment: bytes) -> bytes:
         text = fragment.decode("utf-8")
         word = text[1:] if text[0] == " " else text
         if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one word to the pre-tokenizer
-            return tuple([t.id for t in self._model.tokenize(fragment.decode("latin-1").translate(self._letters))])
-        return tuple([t.id for part, _ in self._pre.pre_tokenize_str(text) for t in self._model.tokenize(part)])
+            return array("I", [t.id for t in self._model.tokenize(fragment.decode("latin-1").translate(self._letters))]).tobytes()
+        return array("I", [t.id for part, _ in self._pre.pre_tokenize_str(text) for t in self._model.tokenize(part)]).tobytes()
 
     def _found(self, kind: str, wanted: set, learn) -> dict:
         """What is kept of all ``wanted``; ``learn`` gives it for a list of new ones. Long ones are not kept on."""
@@ -141,7 +142,7 @@ class FragmentEncoder:
         ids = self._found("fragment", set(fragments), lambda new: [self._fragment_ids(x) for x in new])
         out = []
         for a, b in zip(starts, starts[1:]):
-            out.append(self._pack(ids[fragments[a]] if b == a + 1 else [i for x in fragments[a:b] for i in ids[x]]))
+            out.append(self._pack(array("I", ids[fragments[a]] if b == a + 1 else b"".join([ids[x] for x in fragments[a:b]]))))
         return out
 
     def _group(self, texts: list[str]) -> list[list]:
