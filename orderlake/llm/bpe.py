@@ -33,8 +33,8 @@ def _encoder(tokenizer: str, with_ids: bool, digests: bool):
         import pyarrow as pa
 
         def make():
-            # what is kept stays in the worker while other stages run: some 200 MB
-            encoder = FragmentEncoder(tokenizer, lambda ids: None, keep=300_000)
+            # what is kept stays in the worker while other stages run: some 100 MB
+            encoder = FragmentEncoder(tokenizer, lambda ids: None, keep=100_000)
             of = encoder.token_bytes
             encoder._pack = lambda ids: ("".join([f"{i}," for i in ids]).encode(), b"".join([of[i] for i in ids]))
             return encoder

@@ -184,7 +184,7 @@ class FragmentEncoder:
         """What is kept of the pieces of ``text``, in order."""
         return self._group([text])[0]
 
-    def encode_all(self, texts, group_chars: int = 8_000_000):
+    def encode_all(self, texts, group_chars: int = 4_000_000):
         """As ``encode`` for each of ``texts``; new words of a group of them are learned together."""
         group, chars = [], 0
         for text in texts:
