@@ -60,6 +60,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         for name in ("employees", "customers", "areas"):
             job.add_argument(f"--{name}", required=True)
         job.add_argument("--span-hours", type=float, help="longest slice of a backlog")
+        job.add_argument("--once-by", action="append", metavar="COLUMN", help="key by which an order stays once over all slices")
     for job in (gold, whole):
         job.add_argument("--jdbc-url")
         job.add_argument("--jdbc-table", default="daily_sales")
@@ -111,6 +112,8 @@ def _silver(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> di
         *_dimensions(spark, args),
         default=args.default,
         span=_span(args),
+        once_by=args.once_by,
+        seen=layout.silver_seen if args.once_by else None,
     )
 
 
@@ -147,7 +150,7 @@ def _gold(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict
 def _pipeline(spark: SparkSession, layout: Layout, args: argparse.Namespace) -> dict[str, object]:
     lines = stream_lines(spark, args.source, **_pairs(args.option))
     people = _dimensions(spark, args)
-    return run_pipeline(spark, lines, layout, *people, default=args.default, span=_span(args), **_publishers(layout, args))
+    return run_pipeline(spark, lines, layout, *people, default=args.default, span=_span(args), once_by=args.once_by, **_publishers(layout, args))
 
 
 _LAYERS = {"bronze": _bronze, "silver": _silver, "gold": _gold, "pipeline": _pipeline}

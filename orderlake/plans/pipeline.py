@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
@@ -27,6 +27,7 @@ class Layout(NamedTuple):
     checkpoint = property(lambda self: self.path("bronze_checkpoint"))
     silver = property(lambda self: self.path("silver"))
     silver_progress = property(lambda self: self.path("silver_progress"))
+    silver_seen = property(lambda self: self.path("silver_seen"))
     partials = property(lambda self: self.path("gold_partials"))
     gold = property(lambda self: self.path("gold"))
     gold_progress = property(lambda self: self.path("gold_progress"))
@@ -44,12 +45,14 @@ def run_pipeline(
     span: timedelta | None = None,
     publish_days: Callable[[DataFrame, DataFrame, DataFrame], None] | None = None,
     publish_batch: Callable[[str, DataFrame, DataFrame, DataFrame], object] | None = None,
+    once_by: Sequence[str] | None = None,
 ) -> dict[str, dict[str, object]]:
     """Ingest what the stream holds now, then silver until it is done, then gold.
 
     Meant for a scheduler: call it at the wanted interval. Errors are raised,
     and the next call goes on where this one stopped. ``publish`` and the like:
-    see :func:`run_gold`.
+    see :func:`run_gold`. ``once_by``: an order of one key stays once over all
+    slices.
     """
     query = run_bronze(lines, layout.bronze, layout.checkpoint, {"availableNow": True})
     query.awaitTermination()
@@ -65,6 +68,8 @@ def run_pipeline(
             areas,
             default,
             span,
+            once_by=once_by,
+            seen=None if once_by is None else layout.silver_seen,
         )
         if done["rows"] is None:
             break

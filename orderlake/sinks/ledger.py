@@ -1,4 +1,4 @@
-"""Changed days of a table in a database, each batch exactly once.
+"""Changed days, or new rows, of a table in a database, each batch exactly once.
 
 The batch's rows go to staging tables first, by as many tasks as wanted. One
 transaction then asks a ledger for the batch, replaces the days from the staged
@@ -40,6 +40,7 @@ class LedgerTable:
                 raise ValueError(f"not a plain name: {name!r}")
         self._connect, self._stage, self.table, self._day = connect, stage, table, day
         self.ledger, self._rows, self._days = f"{table}_batches", f"{table}_staged", f"{table}_staged_days"
+        self._new = f"{table}_staged_new"
 
     @classmethod
     def by_jdbc(cls, connect: Callable[[], Any], url: str, table: str, options: Mapping[str, str] | None = None) -> LedgerTable:
@@ -66,12 +67,16 @@ class LedgerTable:
         cursor.execute(f"SELECT count(*) FROM {self.ledger} WHERE batch = '{batch}'")
         return cursor.fetchone()[0] > 0
 
-    def publish(self, batch: str, days: DataFrame, valid: DataFrame) -> bool:
-        """Replace ``days`` (order_date) by the rows of ``valid``; ``False`` if the batch was published before."""
+    def _begun(self, batch: str) -> bool:
+        """Make the ledger if it is absent; whether the batch is in it."""
         if not _BATCH.fullmatch(batch):
             raise ValueError(f"not a batch name: {batch!r}")
         self._transaction(lambda c: c.execute(f"CREATE TABLE IF NOT EXISTS {self.ledger} (batch VARCHAR(200) NOT NULL PRIMARY KEY)"))
-        if self._transaction(partial(self._entered, batch)):
+        return self._transaction(partial(self._entered, batch))
+
+    def publish(self, batch: str, days: DataFrame, valid: DataFrame) -> bool:
+        """Replace ``days`` (order_date) by the rows of ``valid``; ``False`` if the batch was published before."""
+        if self._begun(batch):
             return False
         attempt = uuid.uuid4().hex
         columns = [c for c in GOLD_SCHEMA.names if c in valid.columns] or valid.columns
@@ -92,3 +97,28 @@ class LedgerTable:
         cursor.execute(f"DELETE FROM {self._rows} {mine}")
         cursor.execute(f"DELETE FROM {self._days} {mine}")
         return published
+
+    def append(self, batch: str, rows: DataFrame) -> bool:
+        """Add ``rows``, equal ones too; ``False`` if the batch was added before.
+
+        Staged rows carry their place in their partition. A repeated task gives
+        equal places to equal rows if it reads the same input, as tasks that read
+        files or offsets do, so what it stages again counts once.
+        """
+        if self._begun(batch):
+            return False
+        attempt = uuid.uuid4().hex
+        place = F.monotonically_increasing_id().alias("place")
+        self._stage(rows.limit(0), self.table)
+        self._stage(rows.select("*", place, F.lit(attempt).cast("varchar(32)").alias("attempt")), self._new)
+        return self._transaction(partial(self._add, batch, attempt, ", ".join(rows.columns)))
+
+    def _add(self, batch: str, attempt: str, names: str, cursor: Any) -> bool:
+        mine = f"WHERE attempt = '{attempt}'"
+        added = not self._entered(batch, cursor)
+        if added:
+            cursor.execute(f"INSERT INTO {self.ledger} (batch) VALUES ('{batch}')")
+            once = f"SELECT DISTINCT place, {names} FROM {self._new} {mine}"
+            cursor.execute(f"INSERT INTO {self.table} ({names}) SELECT {names} FROM ({once}) AS once")
+        cursor.execute(f"DELETE FROM {self._new} {mine}")
+        return added

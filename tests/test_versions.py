@@ -60,6 +60,10 @@ class Connection:
         elif m := re.fullmatch(r"INSERT INTO (\w+) \((.*)\) SELECT DISTINCT \2 FROM (\w+) WHERE attempt = '(\w+)'", sql):
             names = m[2].split(", ")
             t[m[1]] += [dict(zip(names, k)) for k in {tuple(r[n] for n in names) for r in t[m[3]] if r["attempt"] == m[4]}]
+        elif m := re.fullmatch(r"INSERT INTO (\w+) \((.*)\) SELECT \2 FROM \(SELECT DISTINCT place, \2 FROM (\w+) WHERE attempt = '(\w+)'\) AS once", sql):
+            names = m[2].split(", ")
+            rows = {tuple(r[n] for n in ["place", *names]) for r in t[m[3]] if r["attempt"] == m[4]}
+            t[m[1]] += [dict(zip(names, row[1:])) for row in rows]
         elif m := re.fullmatch(r"DELETE FROM (\w+) WHERE attempt = '(\w+)'", sql):
             t[m[1]] = [r for r in t[m[1]] if r["attempt"] != m[2]]
         else:
