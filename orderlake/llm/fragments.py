@@ -41,14 +41,16 @@ def byte_letters() -> list[str]:
 class FragmentEncoder:
     """Ids of texts as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    ``pack`` turns the ids of a piece into what is kept of it. Pieces and
+    ``pack`` turns the ids of a piece into what is kept of it. Where packed parts
+    can be put together, ``join`` does so for a list of them, and fragments are kept
+    packed; else they are kept as ids and each piece is packed as a whole. Pieces and
     fragments are kept in two generations: once the younger one has ``keep`` of
     them it becomes the older one, and what is met again is taken over from there.
     So memory is bounded, some 300 bytes for each of at most twice ``keep`` and
     those of a group, and frequent words are never learned again.
     """
 
-    def __init__(self, path: str, pack, keep: int = 700_000):
+    def __init__(self, path: str, pack, keep: int = 700_000, join=None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -69,7 +71,7 @@ class FragmentEncoder:
         } | {i: content.encode() for content, i in self.added.items()}
         self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.cuts = self._certain_cuts(t for i, t in self.token_bytes.items() if i not in self.added.values())
-        self._pack, self._keep = pack, keep
+        self._pack, self._keep, self._join = pack, keep, join
         self._letters = dict(enumerate(byte_letters()))
         # young and old: of pieces, of what follows a blank, of fragments
         self._kept: dict[str, tuple[dict, dict]] = {kind: ({}, {}) for kind in ("", " ", "fragment")}
@@ -112,34 +114,46 @@ class FragmentEncoder:
         cut = places.tolist()
         return [joined[a:b] for a, b in zip(cut, cut[1:])], [0, *np.searchsorted(places, ends).tolist()]
 
-    def _fragment_ids(self, fragment: bytes) -> bytes:
+    def _fragment_ids(self, fragment: bytes) -> list[int]:
+        # letters or digits alone, after a blank or not, are one word whose bytes are written as they are
+        rest = fragment[1:] if fragment[0] == 32 else fragment
+        if rest.isalpha() or rest.isdigit():
+            word = rest.decode("ascii")
+            return [t.id for t in self._model.tokenize(word if rest is fragment else self._letters[32] + word)]
         text = fragment.decode("utf-8")
         word = text[1:] if text[0] == " " else text
         if word.isalpha() and (word.isascii() or max(word) < "\u0250"):  # one word to the pre-tokenizer
-            return array("I", [t.id for t in self._model.tokenize(fragment.decode("latin-1").translate(self._letters))]).tobytes()
-        return array("I", [t.id for part, _ in self._pre.pre_tokenize_str(text) for t in self._model.tokenize(part)]).tobytes()
+            return [t.id for t in self._model.tokenize(fragment.decode("latin-1").translate(self._letters))]
+        return [t.id for part, _ in self._pre.pre_tokenize_str(text) for t in self._model.tokenize(part)]
 
     def _found(self, kind: str, wanted: set, learn) -> dict:
         """What is kept of all ``wanted``; ``learn`` gives it for a list of new ones. Long ones are not kept on."""
         young, old = self._kept[kind]
         out, new = {}, []
         for x in wanted:
-            known = young.get(x) or old.get(x)
+            known = young.get(x)
             if known is None:
-                new.append(x)
-            else:
-                out[x] = young[x] = known
-        for x, y in zip(new, learn(new)):
-            out[x] = y
-            if len(x) < 64:
-                young[x] = y
+                known = old.get(x)
+                if known is None:
+                    new.append(x)
+                    continue
+                young[x] = known
+            out[x] = known
+        learned = dict(zip(new, learn(new)))
+        out.update(learned)
+        young.update(learned if max(map(len, new), default=0) < 64 else {x: y for x, y in learned.items() if len(x) < 64})
         return out
 
     def _learn(self, pieces: list[str]) -> list:
         if not pieces:
             return []
         fragments, starts = self._cut([p.encode("utf-8") for p in pieces])
-        ids = self._found("fragment", set(fragments), lambda new: [self._fragment_ids(x) for x in new])
+        if self._join is not None:
+            pack, join = self._pack, self._join
+            packed = self._found("fragment", set(fragments), lambda new: [pack(self._fragment_ids(x)) for x in new])
+            parts = list(map(packed.__getitem__, fragments))
+            return [parts[a] if b == a + 1 else join(parts[a:b]) for a, b in zip(starts, starts[1:])]
+        ids = self._found("fragment", set(fragments), lambda new: [array("I", self._fragment_ids(x)).tobytes() for x in new])
         out = []
         for a, b in zip(starts, starts[1:]):
             out.append(self._pack(array("I", ids[fragments[a]] if b == a + 1 else b"".join([ids[x] for x in fragments[a:b]]))))

@@ -133,7 +133,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, shard_ids: int, shar
         from pyspark import TaskContext
 
         def make():
-            encoder = FragmentEncoder(tokenizer, lambda ids: None, keep=400_000)
+            encoder = FragmentEncoder(tokenizer, lambda ids: None, keep=400_000, join=b"".join)
             code = "H" if max([end_id, *encoder.token_bytes]) < 65536 else "I"
             encoder._pack = lambda ids: struct.pack(f"<{len(ids)}{code}", *ids)
             return encoder, np.dtype(f"<{code}")
