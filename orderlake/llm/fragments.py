@@ -25,7 +25,11 @@ _OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\
 
 def _is_odd(text: str) -> bool:
     """Whether some blank of the text does not stand between two characters that are no white space."""
-    return "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text) is not None
+    if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " ":
+        return True
+    if text.isascii():
+        return "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text
+    return _OTHER_SPACE.search(text) is not None
 
 
 def byte_letters() -> list[str]:
@@ -101,7 +105,7 @@ class FragmentEncoder:
         return out
 
     def _cut(self, pieces: list[bytes]):
-        """The fragments of all pieces, one after the other, and where those of each piece begin."""
+        """All pieces in one, where each of their fragments begins, the end, and the number of the first fragment of each."""
         import numpy as np
 
         joined = b"".join(pieces)
@@ -111,8 +115,7 @@ class FragmentEncoder:
         bounds[1:-1] = np.frombuffer(self.cuts, np.uint8)[data[:-1].astype(np.int32) * 256 + data[1:]]
         bounds[0] = bounds[ends] = True
         places = np.flatnonzero(bounds)
-        cut = places.tolist()
-        return [joined[a:b] for a, b in zip(cut, cut[1:])], [0, *np.searchsorted(places, ends).tolist()]
+        return joined, places, np.r_[0, np.searchsorted(places, ends)]
 
     def _fragment_ids(self, fragment: bytes) -> list[int]:
         # letters or digits alone, after a blank or not, are one word whose bytes are written as they are
@@ -126,49 +129,71 @@ class FragmentEncoder:
             return [t.id for t in self._model.tokenize(fragment.decode("latin-1").translate(self._letters))]
         return [t.id for part, _ in self._pre.pre_tokenize_str(text) for t in self._model.tokenize(part)]
 
-    def _found(self, kind: str, wanted: set, learn) -> dict:
-        """What is kept of all ``wanted``; ``learn`` gives it for a list of new ones. Long ones are not kept on."""
+    def _found_all(self, kind: str, wanted: list, learn) -> list:
+        """What is kept of each of ``wanted``, all different; ``learn`` gives it for a list of new ones. Long ones are not kept on."""
         young, old = self._kept[kind]
-        out, new = {}, []
-        for x in wanted:
-            known = young.get(x)
+        out = list(map(young.get, wanted))
+        missing = [i for i, known in enumerate(out) if known is None]
+        new = []
+        for i in missing:
+            x = wanted[i]
+            out[i] = known = old.get(x)
             if known is None:
-                known = old.get(x)
-                if known is None:
-                    new.append(x)
-                    continue
+                new.append(i)
+            else:
                 young[x] = known
-            out[x] = known
-        learned = dict(zip(new, learn(new)))
-        out.update(learned)
-        young.update(learned if max(map(len, new), default=0) < 64 else {x: y for x, y in learned.items() if len(x) < 64})
+        for i, known in zip(new, learn([wanted[i] for i in new])):
+            out[i] = known
+            if len(wanted[i]) < 64:
+                young[wanted[i]] = known
         return out
 
+    def _found(self, kind: str, wanted: set, learn) -> dict:
+        listed = list(wanted)
+        return dict(zip(listed, self._found_all(kind, listed, learn)))
+
     def _learn(self, pieces: list[str]) -> list:
         if not pieces:
             return []
-        fragments, starts = self._cut([p.encode("utf-8") for p in pieces])
+        joined, places, starts = self._cut([p.encode("utf-8") for p in pieces])
         if self._join is not None:
-            pack, join = self._pack, self._join
-            packed = self._found("fragment", set(fragments), lambda new: [pack(self._fragment_ids(x)) for x in new])
-            parts = list(map(packed.__getitem__, fragments))
-            return [parts[a] if b == a + 1 else join(parts[a:b]) for a, b in zip(starts, starts[1:])]
+            return self._learn_packed(joined, places, starts)
+        cut = places.tolist()
+        fragments = [joined[a:b] for a, b in zip(cut, cut[1:])]
         ids = self._found("fragment", set(fragments), lambda new: [array("I", self._fragment_ids(x)).tobytes() for x in new])
         out = []
+        starts = starts.tolist()
         for a, b in zip(starts, starts[1:]):
             out.append(self._pack(array("I", ids[fragments[a]] if b == a + 1 else b"".join([ids[x] for x in fragments[a:b]]))))
         return out
 
-    def _group(self, texts: list[str]) -> list[list]:
+    def _learn_packed(self, joined: bytes, places, starts) -> list[bytes]:
+        """Packed bytes of each piece: those of its fragments, put together in Arrow."""
+        import pyarrow as pa
+
+        fragments = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype("<i8")), pa.py_buffer(joined)])
+        coded = fragments.dictionary_encode()
+        packed = self._found_all("fragment", coded.dictionary.to_pylist(), lambda new: [self._pack(self._fragment_ids(x)) for x in new])
+        data, ends = _put_together(packed, coded.indices)
+        cut = ends[starts].tolist()
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
+
+    def _age(self) -> None:
         for kind, (young, _) in self._kept.items():
             if len(young) >= self._keep:
                 self._kept[kind] = {}, young
+
+    def _has_added(self, text: str) -> bool:
+        return any(token in text for token in self.added)
+
+    def _group(self, texts: list[str]) -> list[list]:
+        self._age()
         out, pieces, words = [], set(), set()
         gaps: list[tuple[list, int, bool, str]] = []  # what is to be filled in: by a piece, or by words after blanks
         known, whole = self._kept[" "][0].get, self._kept[""][0].get
         for text in texts:
             kept: list = []
-            for part in [text] if self._added is None or not self._added.search(text) else self._added.split(text):
+            for part in self._added.split(text) if self._has_added(text) else [text]:
                 if part in self.added:
                     kept.append(self._pack([self.added[part]]))
                     continue
@@ -194,27 +219,74 @@ class FragmentEncoder:
             kept[i] = first_of[x] if first else after[x]
         return out
 
+    def _group_packed(self, texts: list[str]) -> list[bytes]:
+        """The packed bytes of each text. Words of plain texts are told apart and put together in Arrow, not one by one."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        is_plain = [bool(text) and not _is_odd(text) and not self._has_added(text) for text in texts]
+        others = iter(self._group([text for text, yes in zip(texts, is_plain) if not yes]))
+        plain = [text for text, yes in zip(texts, is_plain) if yes]
+        words = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        starts = words.offsets.to_numpy()
+        coded = words.values.dictionary_encode()
+        # the first word of a text has no blank before it
+        firsts = [text.partition(" ")[0] for text in plain]
+        packed = self._found_all(" ", coded.dictionary.to_pylist(), lambda new: self._learn([" " + x for x in new]))
+        first_of = self._found("", set(firsts), self._learn)
+        index = coded.indices.to_numpy().copy()
+        index[starts[:-1]] = len(packed) + np.arange(len(plain))
+        data, ends = _put_together(packed + [first_of[x] for x in firsts], pa.array(index))
+        cut = iter(ends[starts].tolist())
+        at, out = next(cut), []
+        for yes in is_plain:
+            if yes:
+                end = next(cut)
+                out.append(data[at:end])
+                at = end
+            else:
+                out.append(self._join(next(others)))
+        return out
+
     def encode(self, text: str) -> list:
         """What is kept of the pieces of ``text``, in order."""
         return self._group([text])[0]
 
     def encode_all(self, texts, group_chars: int = 8_000_000):
         """As ``encode`` for each of ``texts``; new words of a group of them are learned together."""
+        return self._in_groups(texts, group_chars, self._group)
+
+    def encode_packed(self, texts, group_chars: int = 12_000_000):
+        """The packed bytes of each of ``texts``; for an encoder whose ``pack`` gives bytes and whose ``join`` joins them."""
+        return self._in_groups(texts, group_chars, self._group_packed)
+
+    def _in_groups(self, texts, group_chars: int, run):
         group, chars = [], 0
         for text in texts:
             group.append(text)
             chars += len(text)
             if chars >= group_chars:
-                yield from self._uncollected(group)
+                yield from self._uncollected(run, group)
                 group, chars = [], 0
-        yield from self._uncollected(group)
+        yield from self._uncollected(run, group)
 
-    def _uncollected(self, texts: list[str]) -> list[list]:
+    def _uncollected(self, run, texts: list[str]) -> list:
         """A group without garbage collection: it makes no cycles, and walking over all that is kept costs a third of the time."""
         was_on = gc.isenabled()
         gc.disable()
         try:
-            return self._group(texts)
+            return run(texts)
         finally:
             if was_on:
                 gc.enable()
+
+
+def _put_together(parts: list[bytes], index):
+    """The bytes of ``parts[i]`` for each i of an Arrow array, one after the other, and where each begins, with the end."""
+    import numpy as np
+    import pyarrow as pa
+
+    taken = pa.array(parts, pa.large_binary()).take(index)
+    ends = np.frombuffer(taken.buffers()[1], "<i8")[: len(taken) + 1]
+    return taken.buffers()[2].to_pybytes() if len(taken) else b"", ends

@@ -150,7 +150,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, shard_ids: int, shar
             return pa.RecordBatch.from_pylist([row], pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), *[(c, pa.int64()) for c in ("n_docs", "n_ids", "first_key", "last_key")]]))
 
         for batch in batches:
-            encoded = encoder.encode_all(text.as_py() for text in batch.column(1))
+            encoded = encoder.encode_packed(text.as_py() for text in batch.column(1))
             for key, packed in zip(batch.column(0).to_pylist(), encoded):
                 if out is not None and (out[3][-1] >= shard_ids or len(out[2]) >= shard_docs):
                     yield finish()
@@ -159,7 +159,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, shard_ids: int, shar
                     path = f"{folder}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.ids"
                     out = (open_file(path, write=True), path, [], [0])
                     out[0].write(MAGIC + np.array([dtype.itemsize], "<i8").tobytes())
-                data = b"".join(packed) + end
+                data = packed + end
                 out[0].write(data)
                 out[2].append(key)
                 out[3].append(out[3][-1] + len(data) // dtype.itemsize)
