@@ -1,11 +1,12 @@
 """BPE encoding and decoding of whole texts over certain cuts."""
 
 import hashlib
+import struct
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fragments import FragmentEncoder
+from .fragments import FragmentEncoder, put_together
 from .shared import only, worker_store
 
 
@@ -34,30 +35,33 @@ def _encoder(tokenizer: str, with_ids: bool, digests: bool):
 
         def make():
             # what is kept stays in the worker while other stages run: some 100 MB
-            encoder = FragmentEncoder(tokenizer, lambda ids: None, keep=100_000)
-            of = encoder.token_bytes
-            encoder._pack = lambda ids: ("".join([f"{i}," for i in ids]).encode(), b"".join([of[i] for i in ids]))
-            return encoder
+            encoder = FragmentEncoder(tokenizer, lambda ids: struct.pack(f"<{len(ids)}i", *ids), keep=100_000, join=b"".join)
+            ids = range(max(encoder.token_bytes) + 1)
+            listed = pa.array([b"%d," % i for i in ids], pa.large_binary())
+            return encoder, listed, pa.array([encoder.token_bytes.get(i, b"") for i in ids], pa.large_binary())
 
-        encoder = worker_store(f"bpe:{tokenizer}", make)
+        sha = lambda data: hashlib.sha256(data).hexdigest()
+        encoder, listed, tokens = worker_store(f"bpe:{tokenizer}", make)
         for batch in batches:
             rows = []
-            for packed in encoder.encode_all(text.as_py() or "" for text in batch.column(1)):
-                ids = b"".join([p[0] for p in packed])
-                rows.append((ids.count(b","), ids[:-1].decode(), b"".join([p[1] for p in packed]).decode("utf-8", "replace")))
+            for packed in encoder.encode_packed((text.as_py() or "" for text in batch.column(1)), group_chars=6_000_000):
+                n = len(packed) // 4
+                ids = pa.Array.from_buffers(pa.int32(), n, [None, pa.py_buffer(packed)])
+                numbers = put_together(listed, ids)[0][:-1]
+                decoded = put_together(tokens, ids)[0].decode("utf-8", "replace")
+                if digests:
+                    rows.append((n, sha(numbers), sha(decoded.encode("utf-8"))))
+                else:
+                    rows.append((n, numbers.decode(), decoded, ids.to_numpy() if with_ids else None))
             columns = [batch.column(0), pa.array([r[0] for r in rows], pa.int64())]
             names = [batch.schema.names[0], "n_tokens"]
-            if digests:
-                sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
-                columns += [pa.array([sha(r[i]) for r in rows], pa.string()) for i in (1, 2)]
-                names += ["ids_sha256", "decoded_sha256"]
-            else:
-                if with_ids:
-                    columns.append(pa.array([[int(i) for i in r[1].split(",")] if r[1] else [] for r in rows], pa.list_(pa.int32())))
-                    names.append("ids")
-                columns += [pa.array([r[i] for r in rows], pa.string()) for i in (1, 2)]
-                names += ["ids_text", "decoded"]
+            if with_ids:
+                columns.append(pa.array([r[3] for r in rows], pa.list_(pa.int32())))
+                names.append("ids")
+            columns += [pa.array([r[i] for r in rows], pa.string()) for i in (1, 2)]
+            names += ["ids_sha256", "decoded_sha256"] if digests else ["ids_text", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        pa.default_memory_pool().release_unused()
 
     return run
 

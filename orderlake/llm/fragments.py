@@ -174,7 +174,7 @@ class FragmentEncoder:
         fragments = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype("<i8")), pa.py_buffer(joined)])
         coded = fragments.dictionary_encode()
         packed = self._found_all("fragment", coded.dictionary.to_pylist(), lambda new: [self._pack(self._fragment_ids(x)) for x in new])
-        data, ends = _put_together(packed, coded.indices)
+        data, ends = put_together(pa.array(packed, pa.large_binary()), coded.indices)
         cut = ends[starts].tolist()
         return [data[a:b] for a, b in zip(cut, cut[1:])]
 
@@ -237,7 +237,8 @@ class FragmentEncoder:
         first_of = self._found("", set(firsts), self._learn)
         index = coded.indices.to_numpy().copy()
         index[starts[:-1]] = len(packed) + np.arange(len(plain))
-        data, ends = _put_together(packed + [first_of[x] for x in firsts], pa.array(index))
+        parts = pa.array(packed + [first_of[x] for x in firsts], pa.large_binary())
+        data, ends = put_together(parts, pa.array(index))
         cut = iter(ends[starts].tolist())
         at, out = next(cut), []
         for yes in is_plain:
@@ -282,11 +283,10 @@ class FragmentEncoder:
                 gc.enable()
 
 
-def _put_together(parts: list[bytes], index):
+def put_together(parts, index):
     """The bytes of ``parts[i]`` for each i of an Arrow array, one after the other, and where each begins, with the end."""
     import numpy as np
-    import pyarrow as pa
 
-    taken = pa.array(parts, pa.large_binary()).take(index)
+    taken = parts.take(index)
     ends = np.frombuffer(taken.buffers()[1], "<i8")[: len(taken) + 1]
     return taken.buffers()[2].to_pybytes() if len(taken) else b"", ends
