@@ -1,10 +1,14 @@
-"""Main text of pages: marked regions, and differencing against the page with the nearest URL.
-
-A page becomes text lines (one per block) with the region they lie in. Elements
-that are never main text (menus, forms, adverts, comments, ...) are left out; of
-a page that marks its article, the article's lines are the text. For other pages
-the lines are aligned with those of another page, by a longest common
-subsequence, and the shared ones go.
+"""Main text of pages: differencing against the page with the nearest URL, checked by the markup.
+
+A page becomes text lines, one per block. Every page's lines, menus and marked
+articles included, are aligned with those of another page by a longest common
+subsequence; the shared lines belong to the site, the others are the page's own.
+The markup then checks this. Elements that are never main text (menus, forms,
+adverts, comments, ...) go, though their lines be the page's own. An article or
+main that holds enough of the page's own text is the text, with the shared lines
+in it: a line of a story may well stand elsewhere too. Without one, the own lines
+are the text. A page with less than a third of its text for itself is weighed by
+all its lines.
 
 That other page is the nearest in the order of host and URL path that is not a
 near copy, on the side that shares more of the path. Pages are near copies if
@@ -14,7 +18,9 @@ once, and equal pages get the same lines. The order is walked through once, rang
 by range, with the kinds of pages of a range at hand, as hashes of their lines: a
 group of near copies of any size costs each member a few comparisons. Over the
 ends of a range a page looks on at the nearest ``KINDS`` kinds. A page with no
-other kind beside it keeps its lines.
+other kind beside it is decided on by its markup alone. Where pages are aligned
+their text is decided on too, and goes back to the rows as positions of lines, if
+it differs from what the page alone would give.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ import html as entities
 import itertools
 import re
 from collections import Counter
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,23 +83,38 @@ def _is_outside(name: str, attributes: str, in_article: bool) -> bool:
     return bool(words & OUTSIDE_WORDS) or ("header" in words and not in_article)
 
 
+class Shape(NamedTuple):
+    """Where the lines of a page stand."""
+
+    within: list[int]  # three per line: the nearest element around it that is left out (0: none), its article and its main (-1: none)
+    holders: list[int]  # of each article and main: the nearest element around it that is left out
+    around: list[int]  # the same of each element left out
+
+
 def page_lines(page: str) -> list[tuple[str, int]]:
     """Text lines of a page, one per block and in page order, each with its region.
 
     An element that is left out stays if it holds the marked article or main.
     """
-    lines: list[tuple[str, tuple]] = []
-    # per open element: its name, the nearest element around it that is left out (0: none), its article and its main
-    stack: list[tuple[str, tuple]] = [("", (0, None, None))]
+    lines, shape = _parsed(page)
+    return list(zip(lines, _regions(shape, [len(x) for x in lines])))
+
+
+def _parsed(page: str) -> tuple[list[str], Shape]:
+    lines: list[str] = []
+    places: list[int] = []
+    # per open element: its name, the nearest element around it that is left out, its article and its main
+    stack: list[tuple[str, tuple]] = [("", (0, -1, -1))]
     text: list[str] = []
-    around: list[int] = [0]  # of each element left out: the next one around it
-    holders: dict[tuple, int] = {}  # the same of each article and main
+    around: list[int] = [0]
+    holders: list[int] = []
 
     def close():
         if text:
             line = " ".join(entities.unescape("".join(text)).split())
             if line:
-                lines.append((line, stack[-1][1]))
+                lines.append(line)
+                places.extend(stack[-1][1])
             text.clear()
 
     at, end = 0, len(page)
@@ -131,16 +153,16 @@ def page_lines(page: str) -> list[tuple[str, int]]:
                 opened[stack.pop()[0]] -= 1
             within = stack[-1][1]
             off, article, main = within
-            if _is_outside(name, attributes or "", article is not None):
+            if _is_outside(name, attributes or "", article >= 0):
                 close()
                 around.append(off)
                 within = (len(around) - 1, article, main)
-            elif name == "article" and article is None:
-                within = (off, ("article", len(holders)), main)
-                holders[within[1]] = off
-            elif name == "main" and main is None and article is None:
-                within = (off, article, ("main", len(holders)))
-                holders[within[2]] = off
+            elif name == "article" and article < 0:
+                within = (off, len(holders), main)
+                holders.append(off)
+            elif name == "main" and main < 0 and article < 0:
+                within = (off, article, len(holders))
+                holders.append(off)
             if name in RAW:
                 over = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at, last) if at < last else None
                 if not within[0] and name not in ("script", "style"):
@@ -151,30 +173,39 @@ def page_lines(page: str) -> list[tuple[str, int]]:
                 stack.append((name, within))
                 opened[name] += 1
     close()
-    return _regions(lines, holders, around)
+    return lines, Shape(places, holders, around)
 
 
-def _regions(lines: list[tuple[str, tuple]], holders: dict[tuple, int], around: list[int]) -> list[tuple[str, int]]:
-    """Lines with their regions, once it is known which article and main are the text.
+def _regions(shape: Shape, sizes: list[int], shared: frozenset | set = frozenset()) -> list[int]:
+    """The lines' regions, once it is known which article and main are the text.
 
     A single article is if it has a quarter of the text, one of several if it has
     half of it; a main if it has a quarter, articles in it included. Articles
-    beside a main or an article that is the text are kept with it.
+    beside a main or an article that is the text are kept with it. Only lines that
+    are not ``shared`` have weight, if they are a third of the text.
     """
-    chars = dict.fromkeys(holders, 0)
-    total = 0
-    for line, (off, article, main) in lines:
-        total += 0 if off else len(line)
+    within, holders, around = shape
+    places = list(zip(within[::3], within[1::3], within[2::3]))
+    chars = [0] * len(holders)
+    total = whole = 0
+    for i, (size, (off, article, main)) in enumerate(zip(sizes, places)):
+        whole += 0 if off else size
+        if i in shared:
+            continue
+        total += 0 if off else size
         for holder in (article, main):
-            if holder and off == holders[holder]:
-                chars[holder] += len(line)
+            if holder >= 0 and off == holders[holder]:
+                chars[holder] += size
+    if shared and (3 * total < whole or not total and not any(chars)):
+        return _regions(shape, sizes)
+    mains = {main for _, _, main in places}
     marked = []
-    for kind in ("article", "main"):
-        able = [h for h, n in chars.items() if h[0] == kind and n]
+    for is_main in (False, True):
+        able = [h for h, n in enumerate(chars) if n and (h in mains) == is_main]
         able = [h for h in able if not holders[h]] or able
         if able:
-            best = max(able, key=chars.get)
-            least = 4 if kind == "main" or len(able) == 1 else 2
+            best = max(able, key=chars.__getitem__)
+            least = 4 if is_main or len(able) == 1 else 2
             if least * chars[best] >= total + (chars[best] if holders[best] else 0):
                 marked.append(best)
     kept = {0}
@@ -183,25 +214,24 @@ def _regions(lines: list[tuple[str, tuple]], holders: dict[tuple, int], around:
         while i not in kept:
             kept.add(i)
             i = around[i]
-    mains = {h for h in marked if h[0] == "main"}
+    mains &= set(marked)
     out = []
-    for line, (off, article, main) in lines:
+    for off, article, main in places:
         if off not in kept:
-            region = OFF
-        elif article and marked:
-            region = ARTICLE
+            out.append(OFF)
+        elif article >= 0 and marked:
+            out.append(ARTICLE)
         else:
-            region = MAIN if main and mains else PLAIN
-        out.append((line, region))
+            out.append(MAIN if main >= 0 and mains else PLAIN)
     return out
 
 
-def main_lines(lines: list[tuple[str, int]]) -> tuple[list[str], bool]:
-    """The candidate lines, and whether differencing has to decide on them."""
+def main_lines(lines: list[tuple], shared: frozenset | set = frozenset()) -> tuple[list, bool]:
+    """The lines of the text, and whether they are those that differencing leaves, as no article or main is the text."""
     chosen = [line for line, r in lines if r in (ARTICLE, MAIN)]
     if chosen:
         return chosen, False
-    return [line for line, r in lines if r == PLAIN], True
+    return [line for i, (line, r) in enumerate(lines) if r == PLAIN and i not in shared], True
 
 
 #: Cells of the table of two pages' shared lines up to which it is held whole, as bits: 8 MB.
@@ -294,26 +324,26 @@ def main_text(pages: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
     rows = only(pages, "page_id", "url", "html")
     rows = rows.withColumn("html", F.coalesce("html", F.lit(""))).withColumn("t1", F.xxhash64("html")).withColumn("t2", F.xxhash64(F.lit(7), "html"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lined = rows.mapInArrow(_hashes, "host string, path string, page_id long, t1 long, t2 long, open boolean, own array<long>, sizes array<int>, lines array<long>")
-    page = ["path", "page_id", "open", "own", "sizes", "lines"]
+    lined = rows.mapInArrow(_hashes, f"host string, path string, page_id long, t1 long, t2 long, {PAGE}")
+    page = ["path", "page_id", "lines", "sizes", *Shape._fields]
     lined = lined.groupBy("host", "t1", "t2").agg(F.min(F.struct(*page)).alias("page"))
     lined = written(lined.select("host", "t1", "t2", "page.*"), f"{folder}/lined")
     # in the order of host and path; a hot host spreads over many ranges
     keys = ["host", "path", "page_id", "t1", "t2"]
     ranges = lined.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id())
-    ranges = ranges.select("part", "host", "path", "t1", "t2", "open", "own", "sizes", "lines")
+    ranges = ranges.select("part", "host", "path", "t1", "t2", "lines", "sizes", *Shape._fields)
     found = written(ranges.mapInArrow(_beside, FOUND), f"{folder}/found")
     ends = found.filter(F.col("state") == ENDS).repartition(1).sortWithinPartitions("part", "side", "rank")  # a few rows per range
     late = ends.mapInArrow(_handed_on, FOUND).unionByName(found.filter(F.col("state") == WAITING))
     late = late.repartition(n, "part").sortWithinPartitions("part", F.desc("state"), "rank").mapInArrow(_late, FOUND)
     decided = found.filter(F.col("state") == DECIDED).unionByName(late)
     # equal pages of several places: the first place with a page to compare with
-    best = decided.groupBy("t1", "t2").agg(F.min(F.struct("host", "path", "rank", "side", "dropped")).alias("best"))
-    dropped = written(best.select("t1", "t2", "best.dropped").filter(F.size("dropped") > 0), f"{folder}/dropped")
-    if dropped.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        dropped = F.broadcast(dropped)  # else by shuffle
+    best = decided.groupBy("t1", "t2").agg(F.min(F.struct("host", "path", "rank", "side", "kept")).alias("best"))
+    kept = written(best.select("t1", "t2", "best.kept").filter(F.col("kept").isNotNull()), f"{folder}/kept")
+    if kept.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        kept = F.broadcast(kept)  # else by shuffle
     schema = f"page_id {dict(pages.dtypes)['page_id']}, url string, text string, n_chars long"
-    return rows.join(dropped, ["t1", "t2"], "left").select("page_id", "url", "html", "dropped").mapInArrow(_texts, schema)
+    return rows.join(kept, ["t1", "t2"], "left").select("page_id", "url", "html", "kept").mapInArrow(_texts, schema)
 
 
 def _number(line: str) -> int:
@@ -322,39 +352,43 @@ def _number(line: str) -> int:
     return xxh3_64_intdigest(line.encode("utf-8", "surrogatepass")) - 2**63
 
 
+#: The lines of a page by their hashes, their code points and their places (``Shape``).
+PAGE = "lines array<long>, sizes array<int>, within array<int>, holders array<int>, around array<int>"
+
+
 def _hashes(batches):
     import pyarrow as pa
 
-    kinds = {"host": pa.string(), "path": pa.string(), "page_id": pa.int64(), "t1": pa.int64(), "t2": pa.int64(), "open": pa.bool_(), "own": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()), "lines": pa.list_(pa.int64())}
+    numbers, whole = pa.list_(pa.int64()), pa.list_(pa.int32())
+    kinds = {"host": pa.string(), "path": pa.string(), "page_id": pa.int64(), "t1": pa.int64(), "t2": pa.int64(), "lines": numbers, "sizes": whole, "within": whole, "holders": whole, "around": whole}
     for batch in batches:
         out = []
         for page_id, url, page, t1, t2 in zip(*batch.columns):
-            lines = page_lines(page.as_py())
-            numbers = [_number(x) for x, _ in lines]
-            own = [(number, len(x)) for number, (x, region) in zip(numbers, lines) if region != OFF]
+            lines, shape = _parsed(page.as_py())
             address = (url.as_py() or "").partition("#")[0].partition("?")[0]
             host, _, path = (address.partition("://")[2] or address).partition("/")
-            open_ = main_lines(lines)[1]
-            out.append((host.lower(), path, page_id.as_py(), t1.as_py(), t2.as_py(), open_ and bool(own), [x for x, _ in own], [x for _, x in own], numbers))
+            out.append((host.lower(), path, page_id.as_py(), t1.as_py(), t2.as_py(), [_number(x) for x in lines], [len(x) for x in lines], *shape))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds.values())], list(kinds))
 
 
-#: DECIDED: the lines ``dropped`` of a page, ``rank`` the fewer the more of the path is shared. WAITING: a page
-#: without another kind on ``side`` so far. ENDS: the kinds nearest to a range's end on ``side``, or those beyond it.
-FOUND = (
-    "part int, state int, side int, rank int, host string, path string, t1 long, t2 long, "
-    "own array<long>, sizes array<int>, lines array<long>, dropped array<int>, whole boolean"
-)
+#: DECIDED: the lines of a page that are ``kept`` (null: those that the page alone would give), ``rank`` the fewer the
+#: more of the path is shared. WAITING: a page without another kind on ``side`` so far. ENDS: the kinds nearest to a
+#: range's end on ``side``, or those beyond it.
+FOUND = f"part int, state int, side int, rank int, host string, path string, t1 long, t2 long, {PAGE}, kept array<int>, whole boolean"
 
 
 class _Page:
     def __init__(self, row: dict):
         self.host, self.path, self.key = row["host"], row["path"], (row["t1"], row["t2"])
-        self.own, self.sizes, self.lines = row["own"], row["sizes"], row["lines"]
+        self.lines, self.sizes = row["lines"], row["sizes"]
+        self.shape = Shape(*(row[x] for x in Shape._fields))
+        #: Parts of the path that the page before it shares with it, once there is one.
+        self.nearest = -1
         self.weights: dict[int, int] = {}
-        for line, size in zip(self.own, self.sizes):
-            self.weights[line] = self.weights.get(line, 0) + size
-        self.size = sum(self.sizes)
+        for line, size, region in zip(self.lines, self.sizes, _regions(self.shape, self.sizes)):
+            if region != OFF:
+                self.weights[line] = self.weights.get(line, 0) + size
+        self.size = sum(self.weights.values())
 
     def common(self, other: _Page) -> int:
         a, b = sorted([self.weights, other.weights], key=len)
@@ -368,13 +402,24 @@ class _Page:
         return 3 * self.common(other) >= 2 * max(self.size, other.size)
 
     def row(self, part: int, state: int, side: int, rank: int = 0, whole: bool = False) -> tuple:
-        return part, state, side, rank, self.host, self.path, *self.key, self.own, self.sizes, self.lines, None, whole
+        return part, state, side, rank, self.host, self.path, *self.key, self.lines, self.sizes, *self.shape, None, whole
 
-    def against(self, other: _Page, part: int, side: int) -> tuple:
+    def near(self, other: _Page) -> int:
         import os.path
 
-        near = len(os.path.commonprefix([self.path.split("/"), other.path.split("/")]))
-        return part, DECIDED, side, -near, self.host, self.path, *self.key, None, None, None, common_lines(self.own, other.lines), None
+        return len(os.path.commonprefix([self.path.split("/"), other.path.split("/")]))
+
+    def text(self, shared: frozenset | set = frozenset()) -> list[int]:
+        """Positions of the lines that are the text, if ``shared`` ones are the site's."""
+        return main_lines(list(enumerate(_regions(self.shape, self.sizes, shared))), shared)[0]
+
+    def against(self, other: _Page, part: int, side: int) -> tuple:
+        """The page's text by its differences from another page."""
+        shared = set(common_lines(self.lines, other.lines))
+        kept = self.text(shared) if shared else None
+        if kept is not None and kept == self.text():
+            kept = None
+        return part, DECIDED, side, -self.near(other), self.host, self.path, *self.key, *[None] * (2 + len(self.shape)), kept, None
 
 
 def _batches(rows, size: int = 500):
@@ -382,7 +427,7 @@ def _batches(rows, size: int = 500):
     import pyarrow as pa
 
     long, number = pa.int64(), pa.int32()
-    kinds = [number] * 4 + [pa.string()] * 2 + [long] * 2 + [pa.list_(long), pa.list_(number), pa.list_(long), pa.list_(number), pa.bool_()]
+    kinds = [number] * 4 + [pa.string()] * 2 + [long] * 2 + [pa.list_(long)] + [pa.list_(number)] * 5 + [pa.bool_()]
     names = [field.split()[0] for field in FOUND.split(", ")]
     rows = iter(rows)
     while some := list(itertools.islice(rows, size)):
@@ -395,7 +440,7 @@ class _Kind:
 
 
 def _beside(batches):
-    """A range of pages in order, each open one against the nearest page of another kind on both sides."""
+    """A range of pages in order, each against the nearest page of another kind on both sides."""
 
     def rows():
         part = host = first_host = None
@@ -415,14 +460,14 @@ def _beside(batches):
                 near = itertools.islice(reversed(kinds.values()), KINDS)
                 own = next((k for k in near if page.same_kind(k.latest)), None)
                 # most often the last kind or the one before it
-                before = next((k.latest for k in reversed(kinds.values()) if page.tells(k.latest)), None) if row["open"] else None
+                before = next((k.latest for k in reversed(kinds.values()) if page.tells(k.latest)), None)
                 for kind in [k for k in waiting.values() if k is not own and page.tells(k.latest)]:
                     still = []
                     for other in kind.waiting:
-                        if other.tells(page):
-                            yield other.against(page, part, AFTER)
-                        else:
+                        if not other.tells(page):
                             still.append(other)
+                        elif other.near(page) > other.nearest:  # else the page before it decides
+                            yield other.against(page, part, AFTER)
                     kind.waiting = still
                     if not still:
                         del waiting[id(kind)]
@@ -432,13 +477,13 @@ def _beside(batches):
                 kinds.pop(id(own), None)
                 own.latest = page
                 kinds[id(own)] = own
-                if row["open"]:
-                    own.waiting.append(page)
-                    waiting[id(own)] = own
-                    if before:
-                        yield page.against(before, part, BEFORE)
-                    elif host == first_host:
-                        yield page.row(part, WAITING, BEFORE)
+                own.waiting.append(page)
+                waiting[id(own)] = own
+                if before:
+                    page.nearest = page.near(before)
+                    yield page.against(before, part, BEFORE)
+                elif host == first_host:
+                    yield page.row(part, WAITING, BEFORE)
         # another kind may come in the next range
         for kind in waiting.values():
             for page in kind.waiting:
@@ -506,9 +551,9 @@ def _texts(batches):
 
     for batch in batches:
         texts = []
-        for page, dropped in zip(batch.column(2), batch.column(3)):
-            chosen, _ = main_lines(page_lines(page.as_py()))
-            off = set(dropped.as_py() or ())
-            texts.append("\n\n".join([line for i, line in enumerate(chosen) if i not in off]))
+        for page, kept in zip(batch.column(2), batch.column(3)):
+            lines, shape = _parsed(page.as_py())
+            chosen = [lines[i] for i in kept.as_py()] if kept.is_valid else main_lines(list(zip(lines, _regions(shape, [len(x) for x in lines]))))[0]
+            texts.append("\n\n".join(chosen))
         columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])

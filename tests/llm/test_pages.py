@@ -2,7 +2,9 @@
 
 import random
 import time
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,43 @@ def test_no_kind_is_forgotten(spark, n):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert [i for i, text in got.items() if "menu of the site" in text] == []
     assert all(got[i].startswith("story line 0 0") for i in range(n))
+
+
+def given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html", F.col("page_id").alias("t1"), F.lit(0).cast("long").alias("t2"))
+    return pa.RecordBatch.from_pandas(rows.fillna("", "html").toPandas(), preserve_index=False)
+
+
+def test_each_given_page_is_differenced(spark):
+    """Pages that mark their article too: each that has another page on its host is aligned with one."""
+    lined = pa.Table.from_batches(html_text._hashes([given_pages(spark)])).sort_by([(x, "ascending") for x in ("host", "path", "page_id")])
+    lined = lined.add_column(0, "part", pa.array([0] * len(lined), pa.int32()))
+    found = [row for batch in html_text._beside(lined.to_batches(50)) for row in batch.to_pylist()]
+    of_host = Counter(lined["host"].to_pylist())
+    want = [i for i, host in zip(lined["t1"].to_pylist(), lined["host"].to_pylist()) if of_host[host] > 1]
+    assert {r["t1"] for r in found if r["state"] == html_text.DECIDED} == set(want) and len(want) > 100
+
+
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_differencing_tells_which_article_is_the_text(spark, partitions):
+    """An article that all pages of a host share is the site's; one that a page has for itself is its text, with shared lines in it."""
+    notice = "<article><p>This site would like you to accept what it stores on your machine, and some more.</p></article>"
+    story = lambda i: [f"Story {i} begins with {i * 'quite '}some words", f"Story {i} then goes on and on", f"Story {i} ends"]
+    inner = lambda i: "".join(f"<p>{x}</p>" for x in story(i))
+    rows = [(i, f"http://n/{i}", f"<body><div>Menu line</div>{notice}<div>{inner(i)}</div></body>") for i in range(4)]
+    marked = "<body><nav>Home</nav><div>Menu line</div><article>{}<p>Read on</p></article><div>Legal line {}</div></body>"
+    rows += [(i, f"http://s/{i}", marked.format(inner(i), i)) for i in range(4, 8)]
+    # all of the article stands in the other page's menu and little is left: nothing tells it but the markup
+    rows += [(8, "http://t/1", "<nav>Away</nav><article><p>Home</p></article><div>9</div>"), (9, "http://t/2", "<nav>Home</nav><article><p>Quite another text</p></article>")]
+    # alone on its host: the markup alone tells
+    rows += [(10, "http://u/1", f"<body>{notice}<div>{inner(1)}</div></body>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {r.page_id: r.text.split("\n\n") for r in main_text(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    want = {i: story(i) for i in range(4)} | {i: [*story(i), "Read on"] for i in range(4, 8)}
+    want |= {8: ["Home"], 9: ["Quite another text"], 10: [notice[12:-14]]}
+    assert got == want
